@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from vecloom.operators import classification, evaluation, labels, reduction
+
+
+@pytest.fixture(scope="module")
+def parts(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumnsRenamed(
+        {"embedding": "features", "label": "Classe"}
+    )
+    reduced = reduction.fit_components(table).transform(table, 32)
+    indexed = labels.fit_label_index(reduced).transform(reduced)
+    frames = labels.hash_split(indexed.select("vec_id", "Classe_index", "vectors_pca"), "vec_id")
+    return [f.cache() for f in frames]
+
+
+@pytest.mark.parametrize("kind", ["lr", "tree", "forest"])
+def test_predictions_for_every_row(parts, kind):
+    train, valid = parts
+    model = classification.train(kind, train)
+    predicted = classification.predict(model, valid)
+    assert predicted.columns[-3:] == ["rawPrediction", "probability", "prediction"]
+    rows = predicted.select("prediction").collect()
+    assert len(rows) == 103
+    assert {r.prediction for r in rows} <= set(map(float, range(10)))
+
+
+def test_settings(parts):
+    train, _ = parts
+    lr = classification.train("lr", train)
+    assert lr.getMaxIter() == 5 and lr.numClasses == 10
+    tree = classification.train("tree", train)
+    assert (tree.getOrDefault("seed"), tree.getMaxDepth()) == (21, 5)
+    forest = classification.train("forest", train, numTrees=3)
+    assert (forest.getNumTrees, forest.getOrDefault("seed")) == (3, 21)
+    with pytest.raises(ValueError, match="bayes"):
+        classification.train("bayes", train)
+
+
+def test_lr_tables(spark, parts):
+    model = classification.train("lr", parts[0])
+    rows = classification.coefficients(spark, model).collect()
+    matrix = model.coefficientMatrix.toArray()
+    assert len(rows) == 320
+    assert all(matrix[r.class_index, r.feature] == r.coefficient for r in rows)
+    rows = classification.intercepts(spark, model).collect()
+    assert [r.intercept for r in rows] == list(model.interceptVector)
+    losses = [r.objective for r in classification.loss_history(spark, model).collect()]
+    assert len(losses) == 6 and losses == sorted(losses, reverse=True)
+    # the start is the entropy of the class shares
+    shares = np.unique([r.Classe_index for r in parts[0].collect()], return_counts=True)[1] / 397
+    assert losses[0] == pytest.approx(-(shares * np.log(shares)).sum())
+
+
+def test_tree_tables(spark, parts):
+    tree = classification.train("tree", parts[0])
+    row = classification.tree_stats(spark, tree).first()
+    assert tuple(row) == (0, tree.numNodes, tree.depth)
+    assert "If (feature" in classification.tree_text(tree)
+    forest = classification.train("forest", parts[0])
+    rows = classification.tree_stats(spark, forest).collect()
+    assert len(rows) == 20 and sum(r.nodes for r in rows) == forest.totalNumNodes
+
+
+def test_tree_does_not_depend_on_layout(parts):
+    texts = {
+        classification.tree_text(classification.train("tree", parts[0].repartition(n))).split("\n", 1)[1]
+        for n in (1, 7)
+    }
+    assert len(texts) == 1
+
+
+def test_stable_layout_gives_the_same_forest(parts):
+    def text(df):
+        laid_out = classification.stable_layout(df, "vec_id", 4)
+        model = classification.train("forest", laid_out, numTrees=5)
+        return classification.tree_text(model).split("\n", 1)[1]
+
+    assert text(parts[0].repartition(1)) == text(parts[0].repartition(7))
+
+
+def test_training_summary_equals_our_scores(parts):
+    """Per-label and weighted numbers of the fit's own summary, from one aggregation of ours."""
+    train, _ = parts
+    model = classification.train("lr", train)
+    predicted = classification.predict(model, train)
+    rows = {r.label: r for r in evaluation.per_label(predicted).collect()}
+    summary = model.summary
+    for i in range(10):
+        assert rows[float(i)].fpr == pytest.approx(summary.falsePositiveRateByLabel[i], abs=1e-15)
+        assert rows[float(i)].tpr == pytest.approx(summary.truePositiveRateByLabel[i], abs=1e-15)
+        assert rows[float(i)].recall == pytest.approx(summary.recallByLabel[i], abs=1e-15)
+        assert rows[float(i)].precision == pytest.approx(summary.precisionByLabel[i], abs=1e-15)
+        assert rows[float(i)].f1 == pytest.approx(summary.fMeasureByLabel()[i], abs=1e-15)
+    total = evaluation.weighted(predicted).first()
+    want = (
+        summary.accuracy,
+        summary.weightedFalsePositiveRate,
+        summary.weightedTruePositiveRate,
+        summary.weightedFMeasure(),
+        summary.weightedPrecision,
+        summary.weightedRecall,
+    )
+    assert tuple(total) == pytest.approx(want, abs=1e-15)

@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
+
+from vecloom.functions import unit_hash
+from vecloom.operators import labels
+
+
+def test_index_by_frequency_then_name(spark):
+    df = spark.createDataFrame([(c,) for c in "bacccd"] + [(None,)], "Classe string")
+    assert labels.fit_label_index(df).labels == ["c", "a", "b", "d"]
+
+
+def test_index_equals_mllib_and_knows_its_classes(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ours = labels.fit_label_index(docs, "source", "i")
+    theirs = StringIndexer(inputCol="source", outputCol="i").fit(docs)
+    assert ours.labels == theirs.labels
+    meta = ours.transform(docs).schema["i"].metadata["ml_attr"]
+    assert meta["type"] == "nominal" and meta["vals"] == ours.labels
+    numbers = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    model = labels.fit_label_index(numbers, "label", "i")
+    assert model.labels == list("3974082165")
+    assert model.transform(numbers).where("label = 3").first().i == 0.0
+
+
+def test_missing_and_unseen_labels(spark):
+    seen = spark.createDataFrame([("a",), ("b",), ("b",)], "Classe string")
+    other = spark.createDataFrame([("z",), (None,)], "Classe string")
+    with pytest.raises(Exception, match="(?i)unseen|null"):
+        labels.fit_label_index(seen).transform(other).collect()
+    kept = labels.fit_label_index(seen, handle_invalid="keep").transform(other)
+    assert {r.Classe_index for r in kept.collect()} == {2.0}
+
+
+def test_too_many_or_no_labels(spark):
+    df = spark.range(20).select(F.col("id").cast("string").alias("Classe"))
+    with pytest.raises(ValueError, match="more than 10 labels"):
+        labels.fit_label_index(df, max_labels=10)
+    assert len(labels.fit_label_index(df, max_labels=20).labels) == 20
+    with pytest.raises(ValueError, match="no labels"):
+        labels.fit_label_index(df.limit(0))
+
+
+def test_label_table(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",)], "Classe string")
+    rows = labels.label_table(df, labels.fit_label_index(df)).collect()
+    assert sorted(map(tuple, rows)) == [("a", 1.0), ("b", 0.0)]
+
+
+def point(text):
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 2**32
+
+
+def test_hash_is_md5(spark):
+    df = spark.range(50)
+    got = {r.id: r.u for r in df.select("id", unit_hash("id").alias("u")).collect()}
+    assert got == {i: point(str(i)) for i in range(50)}
+    got = {r.id: r.u for r in df.select("id", unit_hash("id", 21).alias("u")).collect()}
+    assert got == {i: point(f"21:{i}") for i in range(50)}
+
+
+@pytest.mark.parametrize("layout", [1, 7, 16])
+def test_hash_split_does_not_depend_on_layout(spark, sf_dir, layout):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").repartition(layout)
+    train, valid = labels.hash_split(table, "vec_id")
+    assert (train.count(), valid.count()) == (397, 103)
+    ids = {r.vec_id for r in valid.select("vec_id").collect()}
+    assert ids == {i for i in range(500) if point(str(i)) >= 0.8}
+
+
+def test_hash_split_in_several_parts(spark):
+    df = spark.range(1000)
+    parts = labels.hash_split(df, "id", (2, 1, 1), seed=3)
+    found = [{r.id for r in part.collect()} for part in parts]
+    assert sum(len(f) for f in found) == len(set.union(*found)) == 1000
+    assert found[0] == {i for i in range(1000) if point(f"3:{i}") < 0.5}
+    assert found[2] == {i for i in range(1000) if point(f"3:{i}") >= 0.75}
+
+
+def test_random_split_wants_a_seed(spark):
+    df = spark.range(0, 100, 1, 2)
+    with pytest.raises(TypeError):
+        labels.random_split(df)
+    train, valid = labels.random_split(df, seed=21)
+    again, _ = labels.random_split(df, seed=21)
+    assert train.count() + valid.count() == 100
+    assert train.collect() == again.collect()

@@ -1,0 +1,155 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from pictures import fruit_folder, write_png
+from vecloom.functions import label_from_path
+from vecloom.operators.featurize import to_rgb
+from vecloom.session import scan_settings, scratch_path
+from vecloom.sources import (
+    read_features,
+    read_files,
+    read_images,
+    split_invalid,
+    write_features,
+)
+
+
+@pytest.fixture(scope="module")
+def fruit(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("fruit") / "train set é"
+    fruit_folder(spark, root)
+    return root
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_match_glob_and_keep_bytes(spark, fruit):
+    files = read_files(spark, str(fruit))
+    assert files.columns == ["path", "modificationTime", "length", "content"]
+    rows = files.collect()
+    assert len(rows) == 7  # .JPG and .png are out, the broken .jpg is in
+    broken = [r for r in rows if r.path.endswith("bad.jpg")]
+    assert bytes(broken[0].content) == b"no image" and broken[0].length == 8
+
+
+def test_root_and_path_pattern_find_the_same_files(spark, fruit):
+    by_root = {r.path for r in read_files(spark, str(fruit)).select("path").collect()}
+    by_glob = {r.path for r in read_files(spark, f"{fruit}/*/*").select("path").collect()}
+    by_list = {
+        r.path
+        for r in read_files(spark, [f"{fruit}/Kiwi", f"{fruit}/Apple-Red"])
+        .select("path")
+        .collect()
+    }
+    assert by_root == by_glob == by_list and len(by_root) == 7
+
+
+def test_labels_come_from_the_folder(spark, fruit):
+    files = read_files(spark, str(fruit)).withColumn("Classe", label_from_path("path"))
+    counts = {r.Classe: r["count"] for r in files.groupBy("Classe").count().collect()}
+    assert counts == {"Apple-Red": 3, "Kiwi": 4}
+
+
+def test_label_query_does_not_read_the_bytes(spark, fruit):
+    labels = read_files(spark, str(fruit)).select("path", label_from_path("path").alias("Classe"))
+    assert "ReadSchema: struct<path:string>" in plan(labels)
+    big = read_files(spark, str(fruit)).where(F.col("length") > 100)
+    assert "GreaterThan(length,100)" in plan(big)
+    assert big.count() == 6
+
+
+def test_empty_folder(spark, tmp_path):
+    assert read_files(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("path", "label"),
+    [
+        ("a/b/c.jpg", "b"),
+        ("/Pommes Vertes é/1.jpg", "Pommes Vertes é"),
+        ("a/b/c/", "c"),
+        ("c.jpg", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_label_edge_cases(spark, path, label):
+    df = spark.createDataFrame([(path,)], "path string")
+    assert df.select(label_from_path("path").alias("l")).first().l == label
+
+
+def test_images_and_invalid_files(spark, fruit):
+    images = read_images(spark, str(fruit))
+    assert images.count() == 9
+    assert read_images(spark, str(fruit), drop_invalid=True).count() == 8
+    good, bad = split_invalid(images)
+    assert good.count() == 8
+    assert [r.origin.endswith("bad.jpg") for r in bad.select("image.origin").collect()] == [True]
+    shapes = good.select("image.height", "image.width", "image.nChannels", "image.mode")
+    assert [tuple(r) for r in shapes.distinct().collect()] == [(8, 8, 3, 16)]
+    jpg = read_images(spark, str(fruit), glob="*.jpg", drop_invalid=True)
+    assert jpg.count() == 6
+
+
+def test_rgb_gives_back_the_written_pixels(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    written = {}
+    for i, shape in enumerate([(5, 7, 3), (5, 7, 3), (4, 4, 1), (3, 2, 4)]):
+        pixels = rng.integers(0, 256, shape, dtype=np.uint8)
+        if shape[2] == 4:
+            pixels[..., 3] = 255
+        write_png(tmp_path / "c" / f"{i}.png", pixels)
+        rgb = np.repeat(pixels, 3, axis=2) if shape[2] == 1 else pixels[..., :3]
+        written[f"{i}.png"] = rgb.tobytes()
+    (tmp_path / "c" / "bad.png").write_bytes(b"?")
+    written["bad.png"] = None
+    rows = to_rgb(read_images(spark, str(tmp_path))).select("image.origin", "rgb").collect()
+    got = {r.origin.rsplit("/", 1)[1]: None if r.rgb is None else bytes(r.rgb) for r in rows}
+    assert got == written
+
+
+def test_saved_table_keeps_vectors_and_reads_only_what_is_asked(spark, sf_dir, tmp_path):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", "label", array_to_vector("embedding").alias("v")
+    )
+    out = str(tmp_path / "t")
+    write_features(table.repartition(4), out)
+    write_features(table.repartition(4), out)  # overwrites
+    back = read_features(spark, out)
+    assert back.schema["v"].dataType == table.schema["v"].dataType
+    assert back.inputFiles() and len(back.inputFiles()) == 4
+    first = sorted(tuple(r) for r in table.select("vec_id", vector_to_array("v")).collect())
+    assert first == sorted(tuple(r) for r in back.select("vec_id", vector_to_array("v")).collect())
+    assert "ReadSchema: struct<label:int>" in plan(read_features(spark, out, ("label",)))
+    write_features(table, str(tmp_path / "p"), ("vec_id", "label"), partition_by=("label",))
+    assert read_features(spark, str(tmp_path / "p")).where("label = 3").count() == 59
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one != two
+    if base:
+        assert one.startswith(base)
+
+
+def test_scan_settings_pack_small_files(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"{i}.jpg").write_bytes(b"0" * 100)
+    before = {k: spark.conf.get(k, None) for k in scan_settings(100)}
+    default = read_files(spark, str(tmp_path)).select("content").rdd.getNumPartitions()
+    try:
+        for key, value in scan_settings(100, files_per_task=100).items():
+            spark.conf.set(key, value)
+        packed = read_files(spark, str(tmp_path)).select("content")
+        assert packed.rdd.getNumPartitions() <= default
+        assert packed.count() == 200
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)

@@ -2,7 +2,8 @@
 
 Everything is derived from the counts of (label, prediction): one aggregation that counts within
 each task before it shuffles, whatever the size and skew of the frame. After it there is one row
-per pair of classes that occurs.
+per pair of classes that occurs. ``by`` names columns to score separately, such as the classifier
+of a frame that holds the predictions of several: one scan then scores them all.
 """
 
 from __future__ import annotations
@@ -16,34 +17,43 @@ LABEL, PREDICTION = "Classe_index", "prediction"
 
 
 def pair_counts(
-    df: DataFrame, label_col: str = LABEL, prediction_col: str = PREDICTION
+    df: DataFrame,
+    label_col: str = LABEL,
+    prediction_col: str = PREDICTION,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """``label, prediction, n`` of the pairs that occur; rows without either are left out."""
     label, prediction = F.col(label_col), F.col(prediction_col)
     return (
         df.where(label.isNotNull() & prediction.isNotNull())
-        .groupBy(label.alias("label"), prediction.alias("prediction"))
+        .groupBy(*by, label.alias("label"), prediction.alias("prediction"))
         .agg(F.count("*").alias("n"))
     )
 
 
 def accuracy(
-    df: DataFrame, label_col: str = LABEL, prediction_col: str = PREDICTION
+    df: DataFrame,
+    label_col: str = LABEL,
+    prediction_col: str = PREDICTION,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row ``n, accuracy, test_error``."""
+    """``n, accuracy, test_error``."""
     label, prediction = F.col(label_col), F.col(prediction_col)
     rows = df.where(label.isNotNull() & prediction.isNotNull())
     share = F.avg((label == prediction).cast("int"))
-    return rows.agg(
+    return rows.groupBy(*by).agg(
         F.count("*").alias("n"), share.alias("accuracy"), (F.lit(1.0) - share).alias("test_error")
     )
 
 
 def per_label(
-    df: DataFrame, label_col: str = LABEL, prediction_col: str = PREDICTION
+    df: DataFrame,
+    label_col: str = LABEL,
+    prediction_col: str = PREDICTION,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """``label, support, predicted, tp, fpr, tpr, precision, recall, f1``, undefined ratios 0."""
-    counts = pair_counts(df, label_col, prediction_col)
+    counts = pair_counts(df, label_col, prediction_col, by)
     n, hit = F.col("n"), F.col("label") == F.col("prediction")
     as_label = F.struct(
         F.col("label"), n.alias("support"), F.lit(0).cast("long").alias("predicted"),
@@ -54,16 +64,16 @@ def per_label(
         n.alias("predicted"), F.lit(0).cast("long").alias("tp"),
     )
     classes = (
-        counts.select(F.inline(F.array(as_label, as_prediction)))
-        .groupBy("label")
+        counts.select(*by, F.inline(F.array(as_label, as_prediction)))
+        .groupBy(*by, "label")
         .agg(*(F.sum(c).alias(c) for c in ("support", "predicted", "tp")))
     )
     support, predicted, tp = (F.col(c) for c in ("support", "predicted", "tp"))
-    others = F.sum("support").over(Window.partitionBy()) - support  # one row per class
+    others = F.sum("support").over(Window.partitionBy(*by)) - support  # one row per class
     recall = _ratio(tp, support)
     precision = _ratio(tp, predicted)
     return classes.select(
-        "label", "support", "predicted", "tp",
+        *by, "label", "support", "predicted", "tp",
         _ratio(predicted - tp, others).alias("fpr"),
         recall.alias("tpr"),
         precision.alias("precision"),
@@ -73,12 +83,15 @@ def per_label(
 
 
 def weighted(
-    df: DataFrame, label_col: str = LABEL, prediction_col: str = PREDICTION
+    df: DataFrame,
+    label_col: str = LABEL,
+    prediction_col: str = PREDICTION,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row: accuracy, and the per-label scores averaged by support."""
+    """Accuracy, and the per-label scores averaged by support."""
     names = ("fpr", "tpr", "f1", "precision", "recall")
     total = F.sum("support")
-    return per_label(df, label_col, prediction_col).agg(
+    return per_label(df, label_col, prediction_col, by).groupBy(*by).agg(
         _ratio(F.sum("tp"), total).alias("accuracy"),
         *(_ratio(F.sum(F.col(c) * F.col("support")), total).alias(f"weighted_{c}") for c in names),
     )
@@ -136,11 +149,14 @@ def confusion_wide(
 
 
 def classification_report(
-    df: DataFrame, label_col: str = LABEL, prediction_col: str = PREDICTION
+    df: DataFrame,
+    label_col: str = LABEL,
+    prediction_col: str = PREDICTION,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """``name, precision, recall, f1, support`` by class, then accuracy and two averages."""
     scores = ("precision", "recall", "f1")
-    classes = per_label(df, label_col, prediction_col)
+    classes = per_label(df, label_col, prediction_col, by)
 
     def line(name: Column, values: dict[str, Column], support: Column) -> Column:
         return F.struct(
@@ -153,14 +169,14 @@ def classification_report(
     total = F.sum("support")
     share = _ratio(F.sum("tp"), total)
     by_support = {s: _ratio(F.sum(F.col(s) * F.col("support")), total) for s in scores}
-    lines = classes.agg(
+    lines = classes.groupBy(*by).agg(
         own.alias("own"),
         line(F.lit("accuracy"), dict.fromkeys(scores, share), total).alias("accuracy"),
         line(F.lit("macro avg"), {s: F.avg(s) for s in scores}, total).alias("macro"),
         line(F.lit("weighted avg"), by_support, total).alias("weighted"),
     )
     every = F.concat("own", F.array("accuracy", "macro", "weighted"))
-    return lines.where(F.size("own") > 0).select(F.inline(every))
+    return lines.where(F.size("own") > 0).select(*by, F.inline(every))
 
 
 def _ratio(top: Column, bottom: Column) -> Column:

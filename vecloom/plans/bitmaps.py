@@ -45,7 +45,8 @@ def write_bitmaps(df: DataFrame, vector_col: str, class_col: str, path: str) ->
 
     pixels = F.transform(F.slice(vector_col, 1, SIDE * SIDE), pixel)
     (
-        df.select(
+        df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        .select(
             F.col(class_col).alias("Classe"),
             F.concat(F.lit(HEADER.decode("ascii")), F.array_join(pixels, "")).alias("value"),
         )

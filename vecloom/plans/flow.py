@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.ml import Model
@@ -81,9 +80,9 @@ def reduce_features(
 
 @dataclass(frozen=True)
 class Trained:
-    """A fitted classifier and its predictions for both parts, not yet computed."""
+    """Fitted classifiers by kind, and the two parts of the table."""
 
-    model: Model
+    models: dict[str, Model]
     train: DataFrame
     valid: DataFrame
 
@@ -93,7 +92,7 @@ def train_classifiers(
     reduced_path: str,
     kinds: Sequence[str] = ("lr", "tree", "forest"),
     layout_partitions: int | None = None,
-) -> dict[str, Trained]:
+) -> Trained:
     """Index the labels, split by path and fit each kind on the training part.
 
     ``layout_partitions`` makes forests repeatable across layouts of the table, see
@@ -106,26 +105,27 @@ def train_classifiers(
     laid_out = train
     if layout_partitions:
         laid_out = classification.stable_layout(train, "path", layout_partitions)
-    fitted = {kind: classification.train(kind, laid_out) for kind in kinds}
-    return {
-        kind: Trained(model, classification.predict(model, train), model.transform(valid))
-        for kind, model in fitted.items()
-    }
+    return Trained({kind: classification.train(kind, laid_out) for kind in kinds}, train, valid)
 
 
-def compare(trained: dict[str, Trained]) -> DataFrame:
+def predictions(models: dict[str, Model], df: DataFrame) -> DataFrame:
+    """``path, Classe_index, kind, prediction`` of all classifiers, in one scan of ``df``."""
+    for kind, model in models.items():
+        alone = model.copy({model.rawPredictionCol: "", model.probabilityCol: ""})
+        df = alone.setPredictionCol(f"{kind}_prediction").transform(df)
+    both = (
+        F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_prediction").alias("prediction"))
+        for kind in models
+    )
+    return df.select("path", "Classe_index", F.inline(F.array(*both)))
+
+
+def compare(trained: Trained) -> DataFrame:
     """``kind, n, accuracy, test_error`` on the validation part."""
-    scores = [
-        evaluation.accuracy(t.valid).select(F.lit(kind).alias("kind"), "*")
-        for kind, t in trained.items()
-    ]
-    return reduce(DataFrame.unionByName, scores)
+    return evaluation.accuracy(predictions(trained.models, trained.valid), by=("kind",))
 
 
-def reports(trained: dict[str, Trained]) -> DataFrame:
+def reports(trained: Trained) -> DataFrame:
     """The classification report of each kind on the validation part."""
-    lines = [
-        evaluation.classification_report(t.valid).select(F.lit(kind).alias("kind"), "*")
-        for kind, t in trained.items()
-    ]
-    return reduce(DataFrame.unionByName, lines)
+    scored = predictions(trained.models, trained.valid)
+    return evaluation.classification_report(scored, by=("kind",))

@@ -269,12 +269,10 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, valid = labels.hash_split(vectors(spark, sf_dir), "vec_id")
-    parts = [
-        part.select("vec_id", F.lit(name).alias("part"))
-        for part, name in ((train, "train"), (valid, "valid"))
-    ]
-    return parts[0].unionByName(parts[1])
+    names = F.array(F.lit("train"), F.lit("valid"))
+    return vectors(spark, sf_dir).select(
+        "vec_id", F.get(names, labels.split_number("vec_id")).alias("part")
+    )
 
 
 # Classifiers
