@@ -168,3 +168,10 @@ def test_counts_are_combined_before_the_shuffle(scored):
     plan = evaluation.per_label(scored)._jdf.queryExecution().executedPlan().toString()
     first = plan[plan.rindex("Exchange hashpartitioning(label"):]
     assert "partial_count" in first
+
+
+def test_confusion_reads_the_frame_once(scored):
+    matrix = evaluation.confusion(scored.select("Classe_index", "prediction"))
+    matrix.collect()
+    plan = matrix._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan

@@ -11,10 +11,6 @@ from vecloom.plans.bitmaps import decode_bitmap
 from vecloom.sources import read_files, read_images
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "id int, v array<float>")
 
@@ -77,11 +73,29 @@ def test_model_is_built_once_per_task(spark):
     assert (built.value, seen.value) == (4, 1000)
 
 
-def test_filter_on_another_column_moves_below_the_model(spark, sf_dir):
-    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    df = featurize(table, "embedding", models.max_pool, partitions=3).where("label = 3")
-    text = plan(df)
-    assert text.index("ArrowEvalPython") < text.index("Filter")
+def test_filters_on_the_features_do_not_run_the_model_again(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def factory(_):
+        def predict(batch):
+            seen.add(len(batch))
+            return batch
+
+        return predict
+
+    df = spark.range(0, 100, 1, 2).select("id", F.array(F.col("id").cast("float")).alias("v"))
+    features = featurize(df, "v", factory)
+    kept = features.where(F.col("features").isNotNull() & (F.col("features")[0] > 9))
+    assert kept.select(F.explode("features")).agg(F.sum("col")).first()[0] == sum(range(10, 100))
+    assert seen.value == 100
+
+
+def test_filter_before_the_model_reaches_the_scan(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("label = 3")
+    df = featurize(table, "embedding", models.max_pool).select("vec_id", "features")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(label), EqualTo(label,3)]" in plan
+    assert plan.count("ArrowEvalPython") == 1
 
 
 def test_images_of_several_shapes(spark, tmp_path):

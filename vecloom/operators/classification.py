@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sized
 from typing import Any
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -14,6 +14,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame, SparkSession
 
+from vecloom.session import small_frame
+
 SEED = 21
 KINDS = {
     "lr": (LogisticRegression, {"maxIter": 5}),
@@ -54,39 +56,39 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 def coefficients(spark: SparkSession, model: Model) -> DataFrame:
     """``class_index, feature, coefficient`` of a logistic regression."""
     matrix = model.coefficientMatrix.toArray()
-    rows, cols = np.indices(matrix.shape)
-    return spark.createDataFrame(
-        pa.table(
-            {
-                "class_index": pa.array(rows.ravel(), pa.int32()),
-                "feature": pa.array(cols.ravel(), pa.int32()),
-                "coefficient": matrix.ravel(),
-            }
-        )
+    rows, cols = np.indices(matrix.shape, dtype=np.int32)
+    return small_frame(
+        spark, class_index=rows.ravel(), feature=cols.ravel(), coefficient=matrix.ravel()
     )
 
 
 def intercepts(spark: SparkSession, model: Model) -> DataFrame:
     """``class_index, intercept`` of a logistic regression."""
     values = model.interceptVector.toArray()
-    index = pa.array(np.arange(len(values)), pa.int32())
-    return spark.createDataFrame(pa.table({"class_index": index, "intercept": values}))
+    return small_frame(spark, class_index=_positions(values), intercept=values)
 
 
 def loss_history(spark: SparkSession, model: Model) -> DataFrame:
     """``iteration, objective``; iteration 0 is the start."""
     values = np.array(model.summary.objectiveHistory)
-    index = pa.array(np.arange(len(values)), pa.int32())
-    return spark.createDataFrame(pa.table({"iteration": index, "objective": values}))
+    return small_frame(spark, iteration=_positions(values), objective=values)
 
 
 def tree_stats(spark: SparkSession, model: Model) -> DataFrame:
     """``tree, nodes, depth``: one row per tree of a tree or forest."""
     trees = getattr(model, "trees", [model])
-    rows = [(i, tree.numNodes, tree.depth) for i, tree in enumerate(trees)]
-    return spark.createDataFrame(rows, "tree int, nodes int, depth int")
+    return small_frame(
+        spark,
+        tree=_positions(trees),
+        nodes=np.array([tree.numNodes for tree in trees], np.int32),
+        depth=np.array([tree.depth for tree in trees], np.int32),
+    )
 
 
 def tree_text(model: Model) -> str:
     """The splits of a tree or forest as text."""
     return model.toDebugString
+
+
+def _positions(values: Sized) -> np.ndarray:
+    return np.arange(len(values), dtype=np.int32)

@@ -113,7 +113,10 @@ def confusion(
     counts = pair_counts(df, label_col, prediction_col)
     kind = counts.schema["label"].dataType
     if labels is None:
-        found = counts.select(F.explode(F.array("label", F.col("prediction").cast(kind))).alias("c"))
+        # The condition always holds. It keeps the counts in this branch of the plan, which then
+        # reuses the shuffle of the other branch instead of reading the frame again.
+        both = F.explode(F.array("label", F.col("prediction").cast(kind)))
+        found = counts.where(F.col("n") > 0).select(both.alias("c"))
         few = found.distinct().limit(max_labels + 1).agg(F.collect_list("c").alias("classes"))
         classes = few.select(
             F.when(F.size("classes") <= max_labels, F.col("classes"))

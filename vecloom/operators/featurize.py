@@ -39,9 +39,11 @@ def featurize(
     without input (NULL, undecodable image, empty array) get NULL features.
 
     The work is an iterator UDF over one column, not a whole-row map, so that Catalyst still
-    prunes it when the features are not asked for, moves filters on other columns below it and
-    sends Python nothing but the input. ``partitions`` shuffles the input first, image bytes
-    included; sizing the scan's partitions (``session.scan_settings``) avoids that.
+    prunes it when the features are not asked for and sends Python nothing but the input. It is
+    marked as not deterministic, or a later filter on the features (even the one Spark derives
+    from ``explode``) would run the model twice; so put filters on other columns before it.
+    ``partitions`` shuffles the input first, image bytes included; sizing the scan's partitions
+    (``session.scan_settings``) avoids that.
     """
     kind = df.schema[input_col].dataType
     if isinstance(kind, T.StructType):
@@ -83,7 +85,7 @@ def to_rgb(df: DataFrame, image_col: str = "image", output_col: str = "rgb") ->
         return pa.array(out, pa.binary())
 
     fields = (F.col(f"{image_col}.{f}") for f in ("height", "width", "nChannels", "data"))
-    return df.withColumn(output_col, flip(*fields))
+    return df.withColumn(output_col, flip.asNondeterministic()(*fields))
 
 
 def _runner(
@@ -114,12 +116,12 @@ def _runner(
         def many(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
             return run(batches)
 
-        return F.arrow_udf(many, "array<float>")
+        return F.arrow_udf(many, "array<float>").asNondeterministic()
 
     def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return run(batches)
 
-    return F.arrow_udf(one, "array<float>")
+    return F.arrow_udf(one, "array<float>").asNondeterministic()
 
 
 def _image_pieces(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions import unit_hash
+from vecloom.session import small_frame
 
 
 def fit_label_index(
@@ -43,8 +45,8 @@ def fit_label_index(
 
 def label_table(df: DataFrame, model: StringIndexerModel) -> DataFrame:
     """``label, index`` of a fitted index, for the session of ``df``."""
-    rows = [(label, float(i)) for i, label in enumerate(model.labels)]
-    return df.sparkSession.createDataFrame(rows, "label string, index double")
+    index = np.arange(len(model.labels), dtype=np.float64)
+    return small_frame(df.sparkSession, label=model.labels, index=index)
 
 
 def hash_split(

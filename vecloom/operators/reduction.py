@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions import dense_vector
+from vecloom.session import small_frame
 
 MAX_DIMS = 8192
 
@@ -173,9 +174,11 @@ class Components:
             out = out.withColumn(vector_col, dense_vector(input_col))
         if scaled_col:
             scale = _affine(spark, self.mean, inverse, None)
-            out = out.withColumn(scaled_col, dense_vector(scale(F.col(input_col))))
+            out = out.withColumn(scaled_col, scale(F.col(input_col)))
         project = _affine(spark, self.mean, inverse, self.axes[:, :k])
-        return out.withColumn(output_col, dense_vector(project(F.col(input_col))))
+        out = out.withColumn(output_col, project(F.col(input_col)))
+        made = [c for c in (scaled_col, output_col) if c]
+        return out.withColumns({c: dense_vector(c) for c in made})
 
 
 def fit_components(
@@ -196,14 +199,12 @@ def fit_components(
 
 def variance_curve(spark: SparkSession, model: Components) -> DataFrame:
     """``k, ratio, cumulative``: share of the variance of the k-th and of the first k axes."""
-    table = pa.table(
-        {
-            "k": pa.array(np.arange(1, len(model.mean) + 1), pa.int32()),
-            "ratio": model.explained_variance,
-            "cumulative": model.cumulative,
-        }
+    return small_frame(
+        spark,
+        k=np.arange(1, len(model.mean) + 1, dtype=np.int32),
+        ratio=model.explained_variance,
+        cumulative=model.cumulative,
     )
-    return spark.createDataFrame(table)
 
 
 @dataclass(frozen=True)
@@ -232,7 +233,10 @@ def _inverse(scale: np.ndarray) -> np.ndarray:
 def _affine(
     spark: SparkSession, mean: np.ndarray, inverse: np.ndarray, axes: np.ndarray | None
 ) -> Callable[[Column], Column]:
-    """UDF for ``(x - mean) * inverse @ axes``; its arrays have at most MAX_DIMS rows."""
+    """UDF for ``(x - mean) * inverse @ axes``; its arrays have at most MAX_DIMS rows.
+
+    Not deterministic in name, so that no filter on its result makes Spark compute it twice.
+    """
     shared = spark.sparkContext.broadcast((mean, inverse, axes))
 
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -251,4 +255,4 @@ def _affine(
                 pa.array(offsets, pa.int32()), pa.array(y.ravel()), mask=pa.array(~present)
             )
 
-    return F.arrow_udf(apply, "array<double>")
+    return F.arrow_udf(apply, "array<double>").asNondeterministic()

@@ -30,12 +30,14 @@ def extract_features(
     model_fn: Callable[[Any], Any],
     input_col: str = "content",
     path_col: str = "path",
+    mode: str = "overwrite",
     **options: Any,
 ) -> dict[str, int]:
     """Write ``path, Classe, features``; the options are those of :func:`featurize`.
 
     Returns how many rows were written and how many of them lack a label or features, counted
-    while writing.
+    while writing. The driver lists all files of ``df``, so take a collection of more than some
+    ten million files folder by folder, with ``mode='append'``.
     """
     labelled = df.withColumn("Classe", label_from_path(path_col))
     table = featurize(labelled, input_col, model_fn, **options).select(
@@ -48,7 +50,7 @@ def extract_features(
         F.count_if(F.col("Classe").isNull()).alias("without_label"),
         F.count_if(F.col("features").isNull()).alias("without_features"),
     )
-    write_features(table, out)
+    write_features(table, out, mode=mode)
     return seen.get
 
 
@@ -100,8 +102,8 @@ def train_classifiers(
     """
     table = read_features(spark, reduced_path, ("path", "Classe", "vectors_pca"))
     table = table.where(F.col("Classe").isNotNull())
-    indexed = labels.fit_label_index(table).transform(table)
-    train, valid = labels.hash_split(indexed, "path")
+    index = labels.fit_label_index(table)
+    train, valid = (index.transform(part) for part in labels.hash_split(table, "path"))
     laid_out = train
     if layout_partitions:
         laid_out = classification.stable_layout(train, "path", layout_partitions)

@@ -25,6 +25,62 @@ CORRELATION = f"""
     group by a.dim, b.dim
 """
 
+# Eigenvalues and axes of the correlation matrix (64 x 64, as lists of 4,096): ten sweeps of plane
+# rotations, 32 disjoint pairs of columns at a time. p is each column's partner in the turn, t the
+# tangent of the angle that clears the pair's cell, c and d the cosine and (signed) sine.
+AXES = f"""
+    with recursive turns as (
+        select 0 as step, list(r order by i, j) as a,
+               list_transform(range(4096), lambda x: (x // 64 = x % 64)::int::double) as v
+        from ({CORRELATION})
+        union all
+        select step + 1,
+               list_transform(range(4096), lambda x:
+                   c[x // 64 + 1] * (c[x % 64 + 1] * a[x + 1]
+                                     + d[x % 64 + 1] * a[x - x % 64 + p[x % 64 + 1] + 1])
+                   + d[x // 64 + 1] * (c[x % 64 + 1] * a[p[x // 64 + 1] * 64 + x % 64 + 1]
+                                       + d[x % 64 + 1]
+                                         * a[p[x // 64 + 1] * 64 + p[x % 64 + 1] + 1])),
+               list_transform(range(4096), lambda x:
+                   c[x % 64 + 1] * v[x + 1] + d[x % 64 + 1] * v[x - x % 64 + p[x % 64 + 1] + 1])
+        from (
+            select *, list_transform(t, lambda x: 1 / sqrt(1 + x * x)) as c,
+                   list_transform(t, lambda x: x / sqrt(1 + x * x)) as d
+            from (
+                select *, list_transform(range(64), lambda i:
+                    case when a[i * 64 + p[i + 1] + 1] = 0 then 0.0
+                         else -2 * a[i * 64 + p[i + 1] + 1]
+                              * (case when a[p[i + 1] * 65 + 1] > a[i * 65 + 1]
+                                        or (a[p[i + 1] * 65 + 1] = a[i * 65 + 1]
+                                            and i < p[i + 1]) then 1 else -1 end)
+                              / (abs(a[p[i + 1] * 65 + 1] - a[i * 65 + 1])
+                                 + sqrt((a[p[i + 1] * 65 + 1] - a[i * 65 + 1]) ** 2
+                                        + 4 * a[i * 64 + p[i + 1] + 1] ** 2))
+                    end) as t
+                from (
+                    select step, a, v, list_transform(range(64), lambda i:
+                        case when i = 63 then step % 63
+                             when i = step % 63 then 63
+                             else (2 * (step % 63) - i + 63) % 63 end) as p
+                    from turns where step < 630
+                )
+            )
+        )
+    )
+    select row_number() over (order by value desc) - 1 as component, value,
+           list_transform(axis, lambda w: w * sign(list_max(axis) + list_min(axis))) as axis
+    from (
+        select a[j * 65 + 1] as value, list_transform(range(64), lambda i: v[i * 64 + j + 1]) as axis
+        from (select a, v, unnest(range(64)) as j from turns where step = 630)
+    )
+"""
+
+CURVE = f"""
+    select component + 1 as k, value / sum(value) over () as ratio,
+           sum(value) over (order by component) / sum(value) over () as cumulative
+    from ({AXES})
+"""
+
 # Grey levels as the image files are made from the vectors.
 GRAY = f"""
     select vec_id, label, dim, greatest(0, least(126, floor((v + 1) * 63)::int)) as g
@@ -115,6 +171,23 @@ ORACLES: dict[str, str] = {
     "correlation": f"""
         select i::int as i, j::int as j, round(r, 6) + 0.0 as r from ({CORRELATION})
     """,
+    "variance_curve": f"""
+        select k::int as k, round(ratio, 9) + 0.0 as ratio, round(cumulative, 9) + 0.0 as cumulative
+        from ({CURVE})
+    """,
+    "choose_k": f"""
+        select min(k)::int as k, (min(k) - 1)::int as index,
+               round(min(cumulative), 9) + 0.0 as cumulative
+        from ({CURVE}) where cumulative >= 0.95
+    """,
+    "pca_project": f"""
+        select vec_id, component::int as component, round(sum(z * weight), 4) + 0.0 as value
+        from ({SCALED}) join (
+            select component, unnest(range(64)) as dim, unnest(axis) as weight
+            from ({AXES}) where component < 32
+        ) using (dim)
+        group by vec_id, component
+    """,
     "variance_powers": f"""
         with r as materialized ({CORRELATION}),
         d as (select count(distinct i) as n from r)

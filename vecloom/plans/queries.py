@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from vecloom.functions import dense_vector, label_from_path, long_form, models
 from vecloom.operators import classification, evaluation, labels, reduction
 from vecloom.operators.featurize import featurize, to_rgb
 from vecloom.plans import bitmaps, flow
-from vecloom.session import scratch_path
+from vecloom.session import scratch_path, small_frame
 from vecloom.sources import read_features, read_files, read_images, write_features
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,15 +199,9 @@ def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = reduction.column_moments(vectors(spark, sf_dir)).correlation
-    i, j = np.indices(matrix.shape)
-    table = pa.table(
-        {
-            "i": pa.array(i.ravel(), pa.int32()),
-            "j": pa.array(j.ravel(), pa.int32()),
-            "r": matrix.ravel(),
-        }
-    )
-    return spark.createDataFrame(table).select("i", "j", rounded("r").alias("r"))
+    i, j = np.indices(matrix.shape, dtype=np.int32)
+    cells = small_frame(spark, i=i.ravel(), j=j.ravel(), r=matrix.ravel())
+    return cells.select("i", "j", rounded("r").alias("r"))
 
 
 def variance_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,15 +224,18 @@ def variance_powers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def choose_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = reduction.choose_k(reduction.fit_components(vectors(spark, sf_dir)))
-    row = (choice.k, choice.index, choice.cumulative)
-    return spark.createDataFrame([row], "k int, index int, cumulative double")
+    row = small_frame(spark, k=[choice.k], index=[choice.index], cumulative=[choice.cumulative])
+    return row.select(
+        F.col("k").cast("int"), F.col("index").cast("int"),
+        rounded("cumulative", 9).alias("cumulative"),
+    )
 
 
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = vectors(spark, sf_dir)
     reduced = reduction.fit_components(table).transform(table, REDUCED_K)
     lines = reduced.select("vec_id", long_form(vector_to_array("vectors_pca"), "component", "v"))
-    return lines.select("vec_id", "component", rounded("v").alias("value"))
+    return lines.select("vec_id", "component", rounded("v", 4).alias("value"))
 
 
 def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,8 +281,8 @@ def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     reduced = reduction.fit_components(table).transform(table, REDUCED_K)
     write_features(reduced, path, ("vec_id", "Classe", "vectors_pca"))
     saved = read_features(spark, path)
-    indexed = labels.fit_label_index(saved).transform(saved)
-    train, valid = labels.hash_split(indexed, "vec_id")
+    index = labels.fit_label_index(saved)
+    train, valid = (index.transform(part) for part in labels.hash_split(saved, "vec_id"))
     return train, valid
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scan_settings(
     mean_file_bytes: int,
-    files_per_task: int = 1000,
+    files_per_task: int = 10_000,
     arrow_rows: int = 1024,
     arrow_bytes: int = 64 << 20,
 ) -> dict[str, str]:
@@ -20,7 +22,8 @@ def scan_settings(
     at the default a task gets about 30 small images however large the folder is. Here the cost
     of opening equals the mean length and the partition size follows from the wanted number of
     files, so the scan itself yields tasks of the right size and no shuffle of image bytes is
-    needed to spread them.
+    needed to spread them. (A folder too small for one such task per core is still spread over
+    all cores.) 10,000 images with 2,048 features make a parquet part of 80 MB.
     """
     return {
         "spark.sql.files.openCostInBytes": str(mean_file_bytes),
@@ -31,6 +34,11 @@ def scan_settings(
     }
 
 
+def small_frame(spark: SparkSession, **columns: Any) -> DataFrame:
+    """A frame from columns the driver holds: arrays, as numpy types them, or lists."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``, the folder all nodes share.
 

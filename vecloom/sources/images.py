@@ -18,7 +18,8 @@ def read_images(
     """One row per file; a file that cannot be decoded has height -1 unless it is dropped.
 
     The source decodes every image whatever fields are asked for, so take labels and counts
-    from :func:`read_files`.
+    from :func:`read_files`. ``image.origin`` is a URI: a space in a folder's name is ``%20`` in
+    it, unlike in the ``path`` of :func:`read_files`.
     """
     reader = (
         spark.read.format("image")
