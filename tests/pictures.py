@@ -40,7 +40,7 @@ def write_jpg(spark, path: Path, rgb: tuple[int, int, int], side: int = 8) -> No
     jvm.javax.imageio.ImageIO.write(image, "jpg", jvm.java.io.File(str(path)))
 
 
-def fruit_folder(spark, root: Path) -> None:
+def photo_folder(spark, root: Path) -> None:
     """Nine files: six .jpg, one .JPG, one .png and one .jpg that is no image."""
     for i in range(3):
         write_jpg(spark, root / "Apple-Red" / f"{i}_100.jpg", (200, 30, 40 + i))

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pictures import write_png
 from vecloom.functions import models, pixels
-from vecloom.operators.featurize import featurize
+from vecloom.operators.featurize import _image_pieces, _runner, featurize
 from vecloom.plans.bitmaps import decode_bitmap
 from vecloom.sources import read_files, read_images
 
@@ -139,6 +143,24 @@ def test_file_bytes_with_a_decoder(spark, tmp_path):
     np.testing.assert_allclose(df.first().features, image.ravel(), atol=1e-4)
 
 
+def test_tasks_need_no_installed_package(tmp_path):
+    """What workers run travels by value: it loads where the package cannot be imported."""
+    dumped = tmp_path / "f.pkl"
+    dumped.write_bytes(cloudpickle.dumps(_runner(models.max_pool, None, _image_pieces, (3, 3), 2, 4).func))
+    code = (
+        "import pickle, sys, pyarrow as pa\n"
+        f"run = pickle.load(open({str(dumped)!r}, 'rb'))\n"
+        "batch = (pa.array([1]), pa.array([2]), pa.array([3]), pa.array([b'abcdef']))\n"
+        "print(next(run(iter([batch])))[0].as_py())\n"
+        "assert 'vecloom' not in sys.modules"
+    )
+    done = subprocess.run(
+        [sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True
+    )
+    assert done.returncode == 0, done.stderr
+    assert len(done.stdout.split(",")) == 3
+
+
 def test_missing_pillow_is_named(spark, tmp_path):
     try:
         import PIL  # noqa: F401

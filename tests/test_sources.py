@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from pictures import fruit_folder, write_png
+from pictures import photo_folder, write_png
 from vecloom.functions import label_from_path
 from vecloom.operators.featurize import to_rgb
 from vecloom.session import scan_settings, scratch_path
@@ -19,9 +19,9 @@ from vecloom.sources import (
 
 
 @pytest.fixture(scope="module")
-def fruit(spark, tmp_path_factory):
-    root = tmp_path_factory.mktemp("fruit") / "train set é"
-    fruit_folder(spark, root)
+def photos(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("photos") / "train set é"
+    photo_folder(spark, root)
     return root
 
 
@@ -29,8 +29,8 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_files_match_glob_and_keep_bytes(spark, fruit):
-    files = read_files(spark, str(fruit))
+def test_files_match_glob_and_keep_bytes(spark, photos):
+    files = read_files(spark, str(photos))
     assert files.columns == ["path", "modificationTime", "length", "content"]
     rows = files.collect()
     assert len(rows) == 7  # .JPG and .png are out, the broken .jpg is in
@@ -38,28 +38,28 @@ def test_files_match_glob_and_keep_bytes(spark, fruit):
     assert bytes(broken[0].content) == b"no image" and broken[0].length == 8
 
 
-def test_root_and_path_pattern_find_the_same_files(spark, fruit):
-    by_root = {r.path for r in read_files(spark, str(fruit)).select("path").collect()}
-    by_glob = {r.path for r in read_files(spark, f"{fruit}/*/*").select("path").collect()}
+def test_root_and_path_pattern_find_the_same_files(spark, photos):
+    by_root = {r.path for r in read_files(spark, str(photos)).select("path").collect()}
+    by_glob = {r.path for r in read_files(spark, f"{photos}/*/*").select("path").collect()}
     by_list = {
         r.path
-        for r in read_files(spark, [f"{fruit}/Kiwi", f"{fruit}/Apple-Red"])
+        for r in read_files(spark, [f"{photos}/Kiwi", f"{photos}/Apple-Red"])
         .select("path")
         .collect()
     }
     assert by_root == by_glob == by_list and len(by_root) == 7
 
 
-def test_labels_come_from_the_folder(spark, fruit):
-    files = read_files(spark, str(fruit)).withColumn("Classe", label_from_path("path"))
+def test_labels_come_from_the_folder(spark, photos):
+    files = read_files(spark, str(photos)).withColumn("Classe", label_from_path("path"))
     counts = {r.Classe: r["count"] for r in files.groupBy("Classe").count().collect()}
     assert counts == {"Apple-Red": 3, "Kiwi": 4}
 
 
-def test_label_query_does_not_read_the_bytes(spark, fruit):
-    labels = read_files(spark, str(fruit)).select("path", label_from_path("path").alias("Classe"))
+def test_label_query_does_not_read_the_bytes(spark, photos):
+    labels = read_files(spark, str(photos)).select("path", label_from_path("path").alias("Classe"))
     assert "ReadSchema: struct<path:string>" in plan(labels)
-    big = read_files(spark, str(fruit)).where(F.col("length") > 100)
+    big = read_files(spark, str(photos)).where(F.col("length") > 100)
     assert "GreaterThan(length,100)" in plan(big)
     assert big.count() == 6
 
@@ -84,16 +84,16 @@ def test_label_edge_cases(spark, path, label):
     assert df.select(label_from_path("path").alias("l")).first().l == label
 
 
-def test_images_and_invalid_files(spark, fruit):
-    images = read_images(spark, str(fruit))
+def test_images_and_invalid_files(spark, photos):
+    images = read_images(spark, str(photos))
     assert images.count() == 9
-    assert read_images(spark, str(fruit), drop_invalid=True).count() == 8
+    assert read_images(spark, str(photos), drop_invalid=True).count() == 8
     good, bad = split_invalid(images)
     assert good.count() == 8
     assert [r.origin.endswith("bad.jpg") for r in bad.select("image.origin").collect()] == [True]
     shapes = good.select("image.height", "image.width", "image.nChannels", "image.mode")
     assert [tuple(r) for r in shapes.distinct().collect()] == [(8, 8, 3, 16)]
-    jpg = read_images(spark, str(fruit), glob="*.jpg", drop_invalid=True)
+    jpg = read_images(spark, str(photos), glob="*.jpg", drop_invalid=True)
     assert jpg.count() == 6
 
 

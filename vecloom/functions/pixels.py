@@ -33,12 +33,14 @@ def resample_matrix(n_in: int, n_out: int) -> np.ndarray:
 def resize(pixels: np.ndarray, height: int, width: int) -> np.ndarray:
     """(n, h, w, c) bytes to (n, height, width, c) bytes: two matrix products per batch."""
     n, h, w, c = pixels.shape
+    planes = pixels.transpose(0, 1, 3, 2)  # rows of one colour, so that a product spans all
     if w != width:
-        pixels = _to_bytes(resample_matrix(w, width) @ pixels.astype(np.float32))
+        lines = planes.reshape(-1, w).astype(np.float32)
+        planes = _to_bytes(lines @ resample_matrix(w, width).T)
     if h != height:
-        rows = pixels.reshape(n, h, width * c).astype(np.float32)
-        pixels = _to_bytes(resample_matrix(h, height) @ rows)
-    return pixels.reshape(n, height, width, c)
+        rows = planes.reshape(n, h, c * width).astype(np.float32)
+        planes = _to_bytes(resample_matrix(h, height) @ rows)
+    return planes.reshape(n, height, c, width).transpose(0, 1, 3, 2)
 
 
 def to_unit_range(pixels: np.ndarray) -> np.ndarray:
@@ -58,4 +60,6 @@ def decode_pillow(content: bytes) -> np.ndarray:
 
 
 def _to_bytes(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(values + np.float32(0.5)), 0, 255).astype(np.uint8)
+    """Rounded (halves up) and cut off to 0..255, in place but for the result."""
+    values += np.float32(0.5)
+    return np.clip(values, 0, 255, out=values).astype(np.uint8)

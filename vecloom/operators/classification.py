@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vecloom.session import small_frame
 
+# The settings of the fits; everything else is Spark's default.
 SEED = 21
 KINDS = {
     "lr": (LogisticRegression, {"maxIter": 5}),

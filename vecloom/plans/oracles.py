@@ -103,7 +103,9 @@ CHANNEL_TOTALS = f"""
 """
 
 # Scores by class of (quality, toxic).
-PER_LABEL = """
+PAIRS = "(select doc_id, quality, toxic from labels where quality is not null and toxic is not null)"
+
+PER_LABEL = f"""
     select label, support, predicted, tp,
            case when total = support then 0.0
                 else (predicted - tp)::double / (total - support) end as fpr,
@@ -114,12 +116,12 @@ PER_LABEL = """
         select *, case when support = 0 then 0.0 else tp::double / support end as recall,
                case when predicted = 0 then 0.0 else tp::double / predicted end as precision
         from (
-            select c.label, (select count(*) from labels) as total,
+            select c.label, (select count(*) from {PAIRS}) as total,
                    count(*) filter (where l.quality = c.label) as support,
                    count(*) filter (where l.toxic = c.label) as predicted,
                    count(*) filter (where l.quality = c.label and l.toxic = c.label) as tp
-            from (select quality as label from labels union select toxic from labels) c
-            join labels l on l.quality = c.label or l.toxic = c.label
+            from (select quality as label from {PAIRS} union select toxic from {PAIRS}) c
+            join {PAIRS} l on l.quality = c.label or l.toxic = c.label
             group by c.label
         )
     )
@@ -242,12 +244,12 @@ ORACLES: dict[str, str] = {
                round(sum(recall * support) / sum(support), 6) + 0.0 as weighted_recall
         from ({PER_LABEL})
     """,
-    "confusion": """
-        with c as (select quality as label from labels union select toxic from labels),
+    "confusion": f"""
+        with c as (select quality as label from {PAIRS} union select toxic from {PAIRS}),
         cells as (
             select a.label, b.label as prediction, count(l.doc_id) as n
             from c a cross join c b
-            left join labels l on l.quality = a.label and l.toxic = b.label
+            left join {PAIRS} l on l.quality = a.label and l.toxic = b.label
             group by a.label, b.label
         )
         select label, prediction, n,
@@ -259,7 +261,7 @@ ORACLES: dict[str, str] = {
     "confusion_wide": """
         select quality as label, count(*) filter (where toxic = 0) as predicted_0,
                count(*) filter (where toxic = 1) as predicted_1
-        from labels where quality in (0, 1) group by quality
+        from labels where quality in (0, 1) and toxic is not null group by quality
     """,
     "classification_report": f"""
         with p as materialized ({PER_LABEL})
