@@ -11,7 +11,7 @@ from vecloom.operators import evaluation
 
 
 def frame(spark, pairs):
-    rows = [(float(a) if a is not None else None, float(b) if b is not None else None) for a, b in pairs]
+    rows = [tuple(None if c is None else float(c) for c in pair) for pair in pairs]
     return spark.createDataFrame(rows, "Classe_index double, prediction double")
 
 
@@ -170,8 +170,17 @@ def test_counts_are_combined_before_the_shuffle(scored):
     assert "partial_count" in first
 
 
-def test_confusion_reads_the_frame_once(scored):
-    matrix = evaluation.confusion(scored.select("Classe_index", "prediction"))
-    matrix.collect()
-    plan = matrix._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+@pytest.mark.parametrize(
+    "measure",
+    [
+        evaluation.confusion, evaluation.per_label, evaluation.weighted,
+        evaluation.classification_report,
+    ],
+)
+def test_the_frame_is_read_once(spark, sf_dir, measure):
+    pairs = spark.read.parquet(f"{sf_dir}/labels.parquet").select("quality", "toxic")
+    scores = measure(pairs, "quality", "toxic")
+    scores.collect()
+    plan = scores._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+    assert "Window" not in plan or measure is evaluation.confusion

@@ -112,7 +112,8 @@ def test_images_of_several_shapes(spark, tmp_path):
         want[f"{i}.png"] = (rgb.max(axis=(0, 1)) / 127.5 - 1).astype(np.float32)
     (tmp_path / "bad.png").write_bytes(b"?")
     df = featurize(read_images(spark, str(tmp_path)).coalesce(1), "image", models.max_pool)
-    got = {r.origin.rsplit("/", 1)[1]: r.features for r in df.select("image.origin", "features").collect()}
+    rows = df.select("image.origin", "features").collect()
+    got = {r.origin.rsplit("/", 1)[1]: r.features for r in rows}
     assert got.pop("bad.png") is None
     assert got.keys() == want.keys()
     for name, features in got.items():
@@ -146,7 +147,8 @@ def test_file_bytes_with_a_decoder(spark, tmp_path):
 def test_tasks_need_no_installed_package(tmp_path):
     """What workers run travels by value: it loads where the package cannot be imported."""
     dumped = tmp_path / "f.pkl"
-    dumped.write_bytes(cloudpickle.dumps(_runner(models.max_pool, None, _image_pieces, (3, 3), 2, 4).func))
+    task = _runner(models.max_pool, None, _image_pieces, (3, 3), 2, 4).func
+    dumped.write_bytes(cloudpickle.dumps(task))
     code = (
         "import pickle, sys, pyarrow as pa\n"
         f"run = pickle.load(open({str(dumped)!r}, 'rb'))\n"

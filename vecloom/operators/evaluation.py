@@ -8,7 +8,7 @@ of a frame that holds the predictions of several: one scan then scores them all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +54,21 @@ def per_label(
 ) -> DataFrame:
     """``label, support, predicted, tp, fpr, tpr, precision, recall, f1``, undefined ratios 0."""
     counts = pair_counts(df, label_col, prediction_col, by)
+    classes = _class_scores(counts, by)
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
+    if by:
+        classes = classes.join(totals, list(by))
+    else:
+        classes = classes.withColumn("total", totals.scalar())
+    wrong, others = F.col("predicted") - F.col("tp"), F.col("total") - F.col("support")
+    return classes.select(
+        *by, "label", "support", "predicted", "tp", _ratio(wrong, others).alias("fpr"),
+        F.col("recall").alias("tpr"), "precision", "recall", "f1",
+    )
+
+
+def _class_scores(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per class that is a label or a prediction, from the pair counts."""
     n, hit = F.col("n"), F.col("label") == F.col("prediction")
     as_label = F.struct(
         F.col("label"), n.alias("support"), F.lit(0).cast("long").alias("predicted"),
@@ -68,18 +83,10 @@ def per_label(
         .groupBy(*by, "label")
         .agg(*(F.sum(c).alias(c) for c in ("support", "predicted", "tp")))
     )
-    support, predicted, tp = (F.col(c) for c in ("support", "predicted", "tp"))
-    others = F.sum("support").over(Window.partitionBy(*by)) - support  # one row per class
-    recall = _ratio(tp, support)
-    precision = _ratio(tp, predicted)
-    return classes.select(
-        *by, "label", "support", "predicted", "tp",
-        _ratio(predicted - tp, others).alias("fpr"),
-        recall.alias("tpr"),
-        precision.alias("precision"),
-        recall.alias("recall"),
-        _ratio(2 * precision * recall, precision + recall).alias("f1"),
-    )
+    recall = _ratio(F.col("tp"), F.col("support"))
+    precision = _ratio(F.col("tp"), F.col("predicted"))
+    f1 = _ratio(2 * precision * recall, precision + recall)
+    return classes.withColumns({"recall": recall, "precision": precision, "f1": f1})
 
 
 def weighted(
@@ -159,27 +166,25 @@ def classification_report(
 ) -> DataFrame:
     """``name, precision, recall, f1, support`` by class, then accuracy and two averages."""
     scores = ("precision", "recall", "f1")
-    classes = per_label(df, label_col, prediction_col, by)
+    classes = _class_scores(pair_counts(df, label_col, prediction_col, by), by)
+    total = F.sum("support")
 
-    def line(name: Column, values: dict[str, Column], support: Column) -> Column:
+    def line(name: str, values: Callable[[str], Column]) -> Column:
         return F.struct(
-            name.cast("string").alias("name"),
-            *(values[s].alias(s) for s in scores),
-            support.alias("support"),
+            F.lit(name).alias("name"), *(values(s).alias(s) for s in scores), total.alias("support")
         )
 
-    own = F.collect_list(line(F.col("label"), {s: F.col(s) for s in scores}, F.col("support")))
-    total = F.sum("support")
-    share = _ratio(F.sum("tp"), total)
-    by_support = {s: _ratio(F.sum(F.col(s) * F.col("support")), total) for s in scores}
-    lines = classes.groupBy(*by).agg(
-        own.alias("own"),
-        line(F.lit("accuracy"), dict.fromkeys(scores, share), total).alias("accuracy"),
-        line(F.lit("macro avg"), {s: F.avg(s) for s in scores}, total).alias("macro"),
-        line(F.lit("weighted avg"), by_support, total).alias("weighted"),
+    averages = classes.groupBy(*by).agg(
+        total.alias("total"),
+        F.array(
+            line("accuracy", lambda s: _ratio(F.sum("tp"), total)),
+            line("macro avg", F.avg),
+            line("weighted avg", lambda s: _ratio(F.sum(F.col(s) * F.col("support")), total)),
+        ).alias("lines"),
     )
-    every = F.concat("own", F.array("accuracy", "macro", "weighted"))
-    return lines.where(F.size("own") > 0).select(*by, F.inline(every))
+    own = classes.select(*by, F.col("label").cast("string").alias("name"), *scores, "support")
+    rest = averages.where(F.col("total").isNotNull()).select(*by, F.inline("lines"))
+    return own.unionByName(rest)
 
 
 def _ratio(top: Column, bottom: Column) -> Column:

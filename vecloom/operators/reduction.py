@@ -70,7 +70,7 @@ def column_moments(
     """Moments of an array column in one pass over its non-NULL rows.
 
     Each task sends one packed triangle of products (17 MB for 2,048 columns), so the shuffle
-    depends on the number of tasks, not rows; ``max_partials`` bounds it. The triangle's rows
+    depends on the number of tasks, not rows; ``max_partials`` bounds it. The triangle's blocks
     are added up in parallel and only their sums reach the driver.
     """
     rows = df.select(F.col(input_col).alias("x")).where(F.col("x").isNotNull())
@@ -84,29 +84,34 @@ def column_moments(
     shift = np.asarray(head.x, np.float64)
     sums = (
         rows.coalesce(max_partials)
-        .mapInArrow(_partial_products(shift), "i int, n long, products array<double>")
-        .groupBy("i")
+        .mapInArrow(_partial_products(shift), "block int, n long, products array<double>")
+        .groupBy("block")
         .agg(
             F.sum("n").alias("n"),
             vector_to_array(Summarizer.sum(array_to_vector("products"))).alias("products"),
         )
         .toArrow()
-        .sort_by("i")
+        .sort_by("block")
     )
     n = sums["n"][0].as_py()
     if n < 2:
         raise ValueError("moments need at least two rows")
-    packed = [row.values.to_numpy() for row in sums["products"]]
-    total = np.array([row[0] for row in packed])
-    products = np.zeros((d, d))
-    for i, row in enumerate(packed):
+    total, products = np.empty(d), np.empty((d, d))
+    packed = np.concatenate([block.values.to_numpy() for block in sums["products"]])
+    for i in range(d):
+        row, packed = packed[: 1 + d - i], packed[1 + d - i :]
+        total[i] = row[0]
         products[i, i:] = products[i:, i] = row[1:]
     covariance = (products - np.outer(total, total) / n) / (n - 1)
     return Moments(n, shift + total / n, covariance)
 
 
+# Spark's aggregation by hash goes on to sort above 128 keys.
+MAX_BLOCKS = 64
+
+
 def _partial_products(shift: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
-    """Per task, row i is the sum of column i and of its products with columns i, i+1, ..."""
+    """Per task: for each column its sum and its products with itself and later columns."""
     d = len(shift)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,20 +125,16 @@ def _partial_products(shift: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]],
             total += x.sum(axis=0)
             products += x.T @ x
         if n:
-            for start in range(0, d, 64):
-                rows = range(start, min(start + 64, d))
-                lengths = [0] + [1 + d - i for i in rows]
-                values = [v for i in rows for v in (total[i : i + 1], products[i, i:])]
+            for block, columns in enumerate(np.array_split(np.arange(d), min(d, MAX_BLOCKS))):
+                parts = [p for i in columns for p in (total[i : i + 1], products[i, i:])]
+                values = np.concatenate(parts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(list(rows), pa.int32()),
-                        pa.array([n] * len(rows), pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.cumsum(lengths), pa.int32()),
-                            pa.array(np.concatenate(values)),
-                        ),
+                        pa.array([block], pa.int32()),
+                        pa.array([n], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values),
                     ],
-                    names=["i", "n", "products"],
+                    names=["block", "n", "products"],
                 )
 
     return partial

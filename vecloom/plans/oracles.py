@@ -70,7 +70,8 @@ AXES = f"""
     select row_number() over (order by value desc) - 1 as component, value,
            list_transform(axis, lambda w: w * sign(list_max(axis) + list_min(axis))) as axis
     from (
-        select a[j * 65 + 1] as value, list_transform(range(64), lambda i: v[i * 64 + j + 1]) as axis
+        select a[j * 65 + 1] as value,
+               list_transform(range(64), lambda i: v[i * 64 + j + 1]) as axis
         from (select a, v, unnest(range(64)) as j from turns where step = 630)
     )
 """
@@ -103,7 +104,9 @@ CHANNEL_TOTALS = f"""
 """
 
 # Scores by class of (quality, toxic).
-PAIRS = "(select doc_id, quality, toxic from labels where quality is not null and toxic is not null)"
+PAIRS = """(
+    select doc_id, quality, toxic from labels where quality is not null and toxic is not null
+)"""
 
 PER_LABEL = f"""
     select label, support, predicted, tp,
@@ -224,6 +227,7 @@ ORACLES: dict[str, str] = {
                     then 'valid' else 'train' end as part
         from embeddings
     """,
+    "random_split": "select vec_id, count(*) as parts from embeddings group by vec_id",
     "accuracy": """
         select count(*) as n, round(avg((quality = toxic)::int), 6) + 0.0 as accuracy,
                round(1.0 - avg((quality = toxic)::int), 6) + 0.0 as test_error

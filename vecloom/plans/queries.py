@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,12 +53,17 @@ def image_folder(spark: SparkSession, sf_dir: str) -> str:
     It stands for the photos, which are there before a job starts.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _image_folders:
-        path = scratch_path(spark, "images")
-        table = read_features(spark, f"{sf_dir}/embeddings.parquet", ("label", "embedding"))
-        bitmaps.write_bitmaps(table, "embedding", "label", path)
-        _image_folders[key] = path
-    return _image_folders[key]
+    if key in _image_folders:
+        try:
+            spark.read.text(f"{_image_folders[key]}/_SUCCESS")
+            return _image_folders[key]
+        except AnalysisException:  # cleared away since
+            pass
+    path = scratch_path(spark, "images")
+    table = read_features(spark, f"{sf_dir}/embeddings.parquet", ("label", "embedding"))
+    bitmaps.write_bitmaps(table, "embedding", "label", path)
+    _image_folders[key] = path
+    return path
 
 
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,6 +277,12 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows are drawn depends on the layout; that each lands in one part does not."""
+    train, valid = labels.random_split(vectors(spark, sf_dir), seed=classification.SEED)
+    return train.unionByName(valid).groupBy("vec_id").agg(F.count("*").alias("parts"))
+
+
 # Classifiers
 
 
@@ -369,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "string_index": string_index,
     "index_rows": index_rows,
     "hash_split": hash_split,
+    "random_split": random_split,
     "lr_predict": _predict("lr"),
     "tree_predict": _predict("tree"),
     "forest_predict": _predict("forest"),
