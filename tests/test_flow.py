@@ -94,9 +94,10 @@ def test_predictions_equal_those_of_each_model(tables):
 
 
 def test_all_classifiers_are_scored_in_one_scan(tables):
-    trained = tables[5]
-    plan = flow.reports(trained)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1
+    reports = flow.reports(tables[5])
+    reports.collect()
+    plan = reports._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
 
 
 def test_fixed_k_slim_table_and_fit_on_train(spark, tables, tmp_path):
