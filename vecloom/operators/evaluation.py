@@ -124,6 +124,7 @@ def confusion(
         # reuses the shuffle of the other branch instead of reading the frame again.
         both = F.explode(F.array("label", F.col("prediction").cast(kind)))
         found = counts.where(F.col("n") > 0).select(both.alias("c"))
+        # One class too many is an error; no class is dropped.
         few = found.distinct().limit(max_labels + 1).agg(F.collect_list("c").alias("classes"))
         classes = few.select(
             F.when(F.size("classes") <= max_labels, F.col("classes"))

@@ -31,7 +31,7 @@ def fit_label_index(
         .groupBy(F.col(label_col).cast("string").alias("label"))
         .count()
         .orderBy(F.desc("count"), "label")
-        .limit(max_labels + 1)
+        .limit(max_labels + 1)  # one too many is an error below
         .collect()
     )
     if not top:

@@ -35,7 +35,7 @@ def standardize(
 ) -> tuple[DataFrame, StandardScalerModel]:
     """Arrays to vectors of mean 0 and sample standard deviation 1 (constant columns: 0).
 
-    NULL rows take no part in the fit and stay NULL-free by being left out.
+    Rows with NULL are left out.
     """
     vectors = df.where(F.col(input_col).isNotNull()).withColumn(
         vector_col, array_to_vector(F.col(input_col))
