@@ -160,6 +160,24 @@ ORACLES: dict[str, str] = {
     """,
     "image_featurize": CHANNEL_TOTALS,
     "files_featurize": CHANNEL_TOTALS,
+    "image_patches": f"""
+        select 'Classe=' || label as "Classe", filter::int as filter, count(*) as n,
+               round(avg(top::float::double), 6) + 0.0 as mean
+        from (
+            select vec_id, label, filter, greatest(max(response), 0.0) as top
+            from (
+                select vec_id, label, filter, y // 4 as patch_y, x // 4 as patch_x,
+                       sum((level::float / 127.5::float - 1::float)::double
+                           * ((5 * (y % 4) + 3 * (x % 4) + 7 * channel + 11 * filter) % 13 - 6)
+                           / 8.0) as response
+                from (select *, 7 - dim // 8 as y, dim % 8 as x from ({COLORS})),
+                     (select unnest(range(5)) as filter)
+                group by vec_id, label, filter, patch_y, patch_x
+            )
+            group by vec_id, label, filter
+        )
+        group by label, filter
+    """,
     "featurize_maxpool": """
         select vec_id, round(list_max(embedding)::double, 6) + 0.0 as value from embeddings
     """,

@@ -164,6 +164,19 @@ def files_featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def image_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over patches of 4 x 4, averaged by class."""
+    table = images(spark, sf_dir).withColumn("Classe", label_from_path("image.origin"))
+    y, x, channel, f = np.indices((4, 4, 3, 5))
+    weights = ((5 * y + 3 * x + 7 * channel + 11 * f) % 13 - 6) / 8.0
+    features = featurize(table, "image", models.patch_filters, weights)
+    return (
+        features.select("Classe", long_form("features", "filter", "value"))
+        .groupBy("Classe", "filter")
+        .agg(F.count("*").alias("n"), rounded(F.avg(F.col("value").cast("double"))).alias("mean"))
+    )
+
+
 def image_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resized to 299 x 299 and put through 64 filters, averaged by class."""
     table = images(spark, sf_dir).withColumn("Classe", label_from_path("image.origin"))
@@ -367,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "image_scan": image_scan,
     "image_to_rgb": image_to_rgb,
     "image_featurize": image_featurize,
+    "image_patches": image_patches,
     "image_filters": image_filters,
     "files_featurize": files_featurize,
     "featurize_maxpool": featurize_maxpool,
