@@ -102,6 +102,13 @@ def test_filter_before_the_model_reaches_the_scan(spark, sf_dir):
     assert plan.count("ArrowEvalPython") == 1
 
 
+def test_later_filter_moves_below_the_model_on_request(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    df = featurize(table, "embedding", models.max_pool, partitions=3, once=False)
+    plan = df.where("label = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(label), EqualTo(label,3)]" in plan
+
+
 def test_images_of_several_shapes(spark, tmp_path):
     rng = np.random.default_rng(1)
     want = {}

@@ -7,7 +7,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ def featurize(
     decode: Callable[[bytes], np.ndarray] | None = None,
     rows_per_batch: int | None = None,
     partitions: int | None = None,
+    once: bool = True,
 ) -> DataFrame:
     """Add ``output_col array<float>``: the model's output for each row, flattened.
 
@@ -41,7 +42,8 @@ def featurize(
     The work is an iterator UDF over one column, not a whole-row map, so that Catalyst still
     prunes it when the features are not asked for and sends Python nothing but the input. It is
     marked as not deterministic, or a later filter on the features (even the one Spark derives
-    from ``explode``) would run the model twice; so put filters on other columns before it.
+    from ``explode``) would run the model twice; so put filters on other columns before it. With
+    ``once=False`` it is not marked, and Catalyst also moves later filters on other columns below.
     ``partitions`` shuffles the input first, image bytes included; sizing the scan's partitions
     (``session.scan_settings``) avoids that.
     """
@@ -66,6 +68,8 @@ def featurize(
         shared = df.sparkSession.sparkContext.broadcast(weights)
 
     run = _runner(model_fn, shared, pieces, size, rows_per_batch or default_rows, len(inputs))
+    if once:
+        run = run.asNondeterministic()
     if partitions:
         df = df.repartition(partitions)
     return df.withColumn(output_col, run(*inputs))
@@ -95,7 +99,7 @@ def _runner(
     size: tuple[int, int] | None,
     rows_per_batch: int,
     n_inputs: int,
-) -> Callable[..., Column]:
+) -> Any:
     def run(batches: Iterator[Any]) -> Iterator[pa.Array]:
         model = model_fn(shared.value) if shared is not None else model_fn(None)
         for columns in batches:
@@ -116,12 +120,12 @@ def _runner(
         def many(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
             return run(batches)
 
-        return F.arrow_udf(many, "array<float>").asNondeterministic()
+        return F.arrow_udf(many, "array<float>")
 
     def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return run(batches)
 
-    return F.arrow_udf(one, "array<float>").asNondeterministic()
+    return F.arrow_udf(one, "array<float>")
 
 
 def _image_pieces(
