@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecloom.llm import chat, quality_rules, url_filter
+from vecloom.llm import chat, packing, quality_rules, token_files, url_filter
+from vecloom.llm.common import saved, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file, at the same place on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces, plan = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    slim = pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.place_pieces(slim, plan)
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation is a tree of one branch: every row replies to the one before."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -69,6 +86,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_tokens(docs, path, tokenizer_path("word_bpe_49k.json"))
+    read = token_files.read_tokens(spark, path).select(
+        "file", "place", "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        token_files.ids_crc32("ids").alias("ids_crc32"),
+    )
+    placed = token_files.positions(saved(read, "read"))
+    return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages")
@@ -77,7 +106,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_packing": op3_packing,
     "op7_chat": op7_chat,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
 }
