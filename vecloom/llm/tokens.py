@@ -18,6 +18,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: First two bytes of the blocks that hold white space of three bytes.
 _WIDE_SPACE = ((0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80))
 SLICE_BYTES = 16 << 20
+CHUNK = 8192
 
 
 def part_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -73,17 +74,24 @@ class Encoder:
         whole[inside] = flat
         return whole, counts + 1
 
+    def _encode(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each part, and all ids; few of the library's results live at once."""
+        sizes, stores = [], []
+        for at in range(0, len(parts), CHUNK):
+            encoded = self.tokenizer.encode_batch_fast(
+                parts.slice(at, CHUNK).to_pylist(), add_special_tokens=False
+            )
+            lists = [e.ids for e in encoded]
+            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+            stores.append(np.fromiter(chain.from_iterable(lists), np.uint32, sizes[-1].sum()))
+        return np.concatenate(sizes), np.concatenate(stores)
+
     def _parts(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = part_starts(data, bounds[:-1][bounds[1:] > bounds[:-1]])
         ends = np.append(starts, len(data)).astype(np.int32)
         parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
         coded = parts.dictionary_encode()
-        encoded = self.tokenizer.encode_batch_fast(
-            coded.dictionary.to_pylist(), add_special_tokens=False
-        )
-        lists = [e.ids for e in encoded]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        store = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        sizes, store = self._encode(coded.dictionary)
         which = coded.indices.to_numpy()
         lengths = sizes[which]
         shift = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(lengths) - lengths)
