@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecloom.llm import chat, packing, quality_rules, token_files, url_filter
+from vecloom.llm import chat, near_dedup, packing, quality_rules, token_files, url_filter
 from vecloom.llm.common import saved, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, shingle_words=3, share=(85, 100))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces, plan = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
@@ -106,6 +111,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_packing": op3_packing,
     "op7_chat": op7_chat,
     "op8_quality_rules": op8_quality_rules,
