@@ -9,6 +9,27 @@ def escaped(column: str) -> str:
     return rf"regexp_replace({column}, '([<\[\\])', '\1\\', 'g')"
 
 
+RUNS = r"""
+    select {id} as id, unnest(list_distinct(list_transform(range(1, len(w) - 3),
+        lambda i: array_to_string(w[i:i + 4], ' ')))) as g
+    from (
+        select {id}, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+                                                       '[^\p{{L}}\p{{N}}]+'),
+                                 lambda x: x <> '') as w
+        from {table}
+    ) where len(w) >= 5
+"""
+
+OP2 = f"""
+    with items as ({RUNS.format(id="item_id", table="benchmark")}),
+    docs as ({RUNS.format(id="doc_id", table="documents")}),
+    sizes as (select id, count(*) as n_item from items group by id)
+    select d.id as doc_id, i.id as item_id, count(*) as n_hits, n_item
+    from docs d join items i on d.g = i.g join sizes s on s.id = i.id
+    group by d.id, i.id, n_item
+    having 100 * count(*) >= 80 * n_item
+"""
+
 # Every turn costs the three marks (8 + 8 + 7 characters).
 OP7 = f"""
     with turns as (
@@ -106,6 +127,7 @@ OP10 = r"""
 """
 
 ORACLES: dict[str, str] = {
+    "op2_decontaminate": OP2,
     "op7_chat": OP7,
     "op8_quality_rules": OP8,
     "op10_url_filter": OP10,

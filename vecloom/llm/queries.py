@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecloom.llm import chat, near_dedup, packing, quality_rules, token_files, url_filter
+from vecloom.llm import chat, decontaminate, line_dedup, near_dedup, packing, quality_rules, token_files, url_filter
 from vecloom.llm.common import saved, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,17 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, shingle_words=3, share=(85, 100))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.deduplicated(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return cleaned.select("doc.doc_id", "doc.text", "n_lines", "n_removed")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces, plan = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
@@ -112,7 +123,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op7_chat": op7_chat,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
