@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecloom.llm import chat, decontaminate, line_dedup, near_dedup, packing, quality_rules, token_files, url_filter
+from vecloom.llm import (
+    chat, classifier, decontaminate, line_dedup, near_dedup, packing, quality_rules, resharding,
+    token_files, url_filter,
+)
 from vecloom.llm.common import saved, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +63,30 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place_pieces(slim, plan)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality"
+    )
+
+
+def op6_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents lie in five shards, by checksum of the text, and go to eight."""
+    path = scratch(spark, "shards")
+    docs = table(spark, sf_dir, "documents")
+    old = (F.crc32(F.coalesce("text", F.lit(""))) % 5).cast("int")
+    placed, plan = resharding.reshard(docs, old, old_shards=5, new_shards=8)
+    resharding.write_affected(placed, plan, path)
+    return resharding.read_shards(spark, path).select(
+        "doc_id",
+        resharding.text_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation is a tree of one branch: every row replies to the one before."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -126,6 +153,8 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_resharding": op6_resharding,
     "op7_chat": op7_chat,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
