@@ -97,7 +97,7 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list | None = None) ->
     return rows if doc_ids is None else rows.where(F.col("doc_id").isin(doc_ids))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def ids_crc32(ids):
     """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     return ids.map(lambda x: zlib.crc32(np.ascontiguousarray(x, "<u4").tobytes()))
