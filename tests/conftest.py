@@ -12,13 +12,16 @@ SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(shared / "scratch"))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

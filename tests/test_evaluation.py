@@ -97,10 +97,23 @@ def test_confusion_of_given_labels(scored, pairs):
     assert sum(r.n for r in few) == sum(a < 2 and b < 2 for a, b in pairs)
 
 
-def test_confusion_of_too_many_classes(scored):
-    with pytest.raises(Exception, match="more than 6 classes"):
-        evaluation.confusion(scored, max_labels=6).collect()
-    assert evaluation.confusion(scored, max_labels=7).count() == 49
+def test_confusion_grid_is_not_made_in_one_task(scored):
+    plan = evaluation.confusion(scored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert evaluation.confusion(scored).count() == 49
+
+
+def test_confusion_wide_has_every_class(spark):
+    rows = spark.createDataFrame([(0, 0), (0, 2), (1, 5)], "t int, p int")
+    wide = evaluation.confusion_wide(rows, [0, 1, 2], "t", "p").collect()
+    assert sorted(map(tuple, wide)) == [(0, 1, 0, 1), (1, 0, 0, 0), (2, 0, 0, 0)]
+
+
+def test_per_label_keeps_null_groups(spark):
+    rows = [("a", 0, 0), ("a", 1, 0), (None, 1, 1)]
+    frame = spark.createDataFrame(rows, "g string, t int, p int")
+    lines = evaluation.per_label(frame, "t", "p", by=("g",)).collect()
+    assert sorted((r.g or "", r.label) for r in lines) == [("", 1), ("a", 0), ("a", 1)]
 
 
 def test_confusion_wide(scored, pairs):

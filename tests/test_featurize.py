@@ -226,44 +226,30 @@ def test_patch_filters_are_a_convolution():
     np.testing.assert_allclose(models.patch_filters(weights)(batch), want, rtol=1e-5)
 
 
-def varint(n: int) -> bytes:
-    out = b""
-    while n > 127:
-        out, n = out + bytes([n & 127 | 128]), n >> 7
-    return out + bytes([n])
-
-
-def field(number: int, value: int | bytes) -> bytes:
-    if isinstance(value, int):
-        return varint(number << 3) + varint(value)
-    return varint(number << 3 | 2) + varint(len(value)) + value
-
-
-def onnx_max_pool() -> bytes:
-    """A network of one node, the largest value over height and width of NHWC input."""
-
-    def tensor(name: bytes) -> bytes:
-        dims = b"".join(field(1, field(2, b"d%d" % i)) for i in range(4))
-        return field(1, name) + field(2, field(1, field(1, 1) + field(2, dims)))
-
-    def attribute(name: bytes, body: bytes) -> bytes:
-        return field(5, field(1, name) + body)
-
-    node = field(1, b"x") + field(2, b"y") + field(4, b"ReduceMax")
-    node += attribute(b"axes", field(8, 1) + field(8, 2) + field(20, 7))
-    node += attribute(b"keepdims", field(3, 0) + field(20, 2))
-    out = field(1, b"y") + field(2, field(1, field(1, 1)))
-    graph = field(1, node) + field(2, b"g") + field(11, tensor(b"x")) + field(12, out)
-    return field(1, 8) + field(7, graph) + field(8, field(2, 13))
-
-
-def test_onnx_network_on_the_executors(spark, tmp_path):
-    pytest.importorskip("onnxruntime")
-    rng = np.random.default_rng(3)
-    for i in range(5):
-        write_png(tmp_path / f"{i}.png", rng.integers(0, 256, (6, 5, 3), dtype=np.uint8))
-    images = read_images(spark, str(tmp_path))
-    network = featurize(images, "image", models.onnx_network, onnx_max_pool())
-    plain = featurize(images, "image", models.max_pool)
-    columns = ("image.origin", "features")
-    assert sorted(network.select(*columns).collect()) == sorted(plain.select(*columns).collect())
+def test_patch_filters_see_the_last_pixels():
+    weights = np.ones((4, 4, 3, 1))
+    batch = np.zeros((1, 10, 10, 3), np.float32)
+    batch[0, 9, 9] = 1
+    assert models.patch_filters(weights)(batch).tolist() == [[3.0]]
+
+
+def test_broken_files_have_no_features(spark):
+    def decode(content):
+        return None if content == b"broken" else np.full((2, 2, 3), content[0], np.uint8)
+
+    df = spark.createDataFrame([(b"broken",), (b"x",), (None,)], "content binary")
+    rows = featurize(df, "content", models.max_pool, decode=decode).collect()
+    assert [r.features is None for r in rows] == [True, False, True]
+
+
+def test_weights_of_any_kind_are_measured(monkeypatch):
+    class Holder:
+        def __init__(self):
+            self.content = bytes(10_000)
+
+    from vecloom.operators.featurize import _weight_bytes
+
+    globals()["Holder"] = Holder
+    Holder.__qualname__ = "Holder"
+    assert _weight_bytes(Holder()) >= 10_000
+    assert _weight_bytes({"a": [np.zeros(4)]}) == 32

@@ -90,3 +90,8 @@ def test_random_split_wants_a_seed(spark):
     again, _ = labels.random_split(df, seed=21)
     assert train.count() + valid.count() == 100
     assert train.collect() == again.collect()
+
+
+def test_hash_split_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "path string")
+    assert sum(part.count() for part in labels.hash_split(df, "path")) == 3

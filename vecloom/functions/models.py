@@ -1,8 +1,7 @@
 """Models for ``featurize``: factories that turn broadcast weights into ``batch -> features``.
 
 A batch is (n, d) for vectors and (n, h, w, 3) in [-1, 1] for images. Anything with that shape
-of interface plugs in; a pretrained network goes in through :func:`onnx_network` or a factory of
-the user's own.
+of interface plugs in; a pretrained network goes in through a factory of the user's own.
 """
 
 from __future__ import annotations
@@ -41,14 +40,18 @@ def projection_weights(n_in: int, n_out: int, seed: int = 21) -> np.ndarray:
 def patch_filters(weights: np.ndarray) -> Model:
     """Filters over square patches, rectified, then the largest response of each filter.
 
-    ``weights`` is (side, side, 3, filters). One matrix product per batch.
+    ``weights`` is (side, side, 3, filters). Images whose sides are no multiples of it are filled
+    up with zeros on the right and below. One matrix product per batch.
     """
     side, _, channels, filters = weights.shape
     kernel = weights.reshape(-1, filters)
 
     def predict(batch: np.ndarray) -> np.ndarray:
-        n, rows, cols = len(batch), batch.shape[1] // side, batch.shape[2] // side
-        grid = batch[:, : rows * side, : cols * side].reshape(n, rows, side, cols, side, channels)
+        n, rows, cols = len(batch), -(-batch.shape[1] // side), -(-batch.shape[2] // side)
+        more = (rows * side - batch.shape[1], cols * side - batch.shape[2])
+        if any(more):
+            batch = np.pad(batch, ((0, 0), (0, more[0]), (0, more[1]), (0, 0)))
+        grid = batch.reshape(n, rows, side, cols, side, channels)
         patches = grid.transpose(0, 1, 3, 2, 4, 5).reshape(n, rows * cols, -1)
         return np.maximum(patches @ kernel, 0).max(axis=1)
 
@@ -59,20 +62,3 @@ def filter_weights(side: int = 13, filters: int = 2048, seed: int = 21) -> np.nd
     """Gaussian weights for :func:`patch_filters`."""
     draws = np.random.default_rng(seed).standard_normal((side, side, 3, filters), dtype=np.float32)
     return draws / np.float32(side)
-
-
-def onnx_network(content: bytes) -> Model:
-    """A network saved as ONNX, given as the file's bytes; its first output is the features."""
-    import onnxruntime
-
-    options = onnxruntime.SessionOptions()
-    options.intra_op_num_threads = 1  # one task, one core
-    session = onnxruntime.InferenceSession(
-        content, options, providers=onnxruntime.get_available_providers()
-    )
-    name = session.get_inputs()[0].name
-
-    def predict(batch: np.ndarray) -> np.ndarray:
-        return session.run(None, {name: np.ascontiguousarray(batch)})[0]
-
-    return predict

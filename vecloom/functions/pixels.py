@@ -48,15 +48,18 @@ def to_unit_range(pixels: np.ndarray) -> np.ndarray:
     return pixels.astype(np.float32) / np.float32(127.5) - np.float32(1.0)
 
 
-def decode_pillow(content: bytes) -> np.ndarray:
-    """File bytes to (h, w, 3) RGB, where Pillow is installed on the workers."""
+def decode_pillow(content: bytes) -> np.ndarray | None:
+    """File bytes to (h, w, 3) RGB, where Pillow is installed on the workers; None if broken."""
     try:
         from PIL import Image
     except ImportError as e:
         raise ImportError(
             "Pillow is needed to decode a content column; give decode=, or use read_images"
         ) from e
-    return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
+    try:
+        return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
+    except OSError:  # what Pillow raises for files that are no image or cut short
+        return None
 
 
 def _to_bytes(values: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LABEL, PREDICTION = "Classe_index", "prediction"
@@ -56,8 +56,10 @@ def per_label(
     counts = pair_counts(df, label_col, prediction_col, by)
     classes = _class_scores(counts, by)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
-    if by:
-        classes = classes.join(totals, list(by))
+    if by:  # NULL is a group like any other
+        renamed = totals.toDF(*(f"_of_{c}" for c in by), "total")
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+        classes = classes.join(renamed, same)
     else:
         classes = classes.withColumn("total", totals.scalar())
     wrong, others = F.col("predicted") - F.col("tp"), F.col("total") - F.col("support")
@@ -109,13 +111,12 @@ def confusion(
     label_col: str = LABEL,
     prediction_col: str = PREDICTION,
     labels: Sequence[float] | None = None,
-    max_labels: int = 10_000,
 ) -> DataFrame:
     """``label, prediction, n, row_share`` for every pair of classes, 0 where none occurs.
 
     The classes are those of the data, or ``labels``, and then pairs with any other class are
-    left out. A full matrix of more than ``max_labels`` classes is an error; ``pair_counts``
-    gives the same cells without the zeros.
+    left out. ``pair_counts`` gives the same cells without the zeros. The matrix is filled by label
+    in parallel; one row holds the list of classes.
     """
     counts = pair_counts(df, label_col, prediction_col)
     kind = counts.schema["label"].dataType
@@ -124,26 +125,24 @@ def confusion(
         # reuses the shuffle of the other branch instead of reading the frame again.
         both = F.explode(F.array("label", F.col("prediction").cast(kind)))
         found = counts.where(F.col("n") > 0).select(both.alias("c"))
-        # One class too many is an error; no class is dropped.
-        few = found.distinct().limit(max_labels + 1).agg(F.collect_list("c").alias("classes"))
-        classes = few.select(
-            F.when(F.size("classes") <= max_labels, F.col("classes"))
-            .otherwise(F.raise_error(F.lit(f"more than {max_labels} classes")))
-            .alias("classes")
-        )
+        classes = found.groupBy("c").agg(F.count("*").alias("times")).select("c")
     else:
         one = df.sparkSession.range(1)
         listed = F.array(*(F.lit(v).cast(kind) for v in dict.fromkeys(labels)))
-        classes = one.select(listed.alias("classes"))
-    grid = classes.select(F.explode("classes").alias("label"), "classes").select(
-        "label", F.explode("classes").alias("prediction")
+        classes = one.select(F.explode(listed).alias("c"))
+    listed = classes.agg(F.collect_list("c").alias("classes")).scalar()
+    grid = classes.select(F.col("c").alias("label")).select(
+        "label", F.explode(listed).alias("prediction")
     )
     cells = counts.withColumn("prediction", F.col("prediction").cast(kind))
     filled = grid.join(cells, ["label", "prediction"], "left")
     n = F.coalesce(F.col("n"), F.lit(0).cast("long"))
-    row_total = F.sum(n).over(Window.partitionBy("label"))
-    return filled.select(
-        "label", "prediction", n.alias("n"), _ratio(n, row_total).alias("row_share")
+    if labels is not None:
+        cells = cells.where(F.col("prediction").isin(list(labels)))
+    totals = cells.groupBy("label").agg(F.sum("n").alias("row_total"))
+    total = F.coalesce(F.col("row_total"), F.lit(0).cast("long"))
+    return filled.join(totals, "label", "left").select(
+        "label", "prediction", n.alias("n"), _ratio(n, total).alias("row_share")
     )
 
 
@@ -153,10 +152,12 @@ def confusion_wide(
     label_col: str = LABEL,
     prediction_col: str = PREDICTION,
 ) -> DataFrame:
-    """One row per true label, one column per predicted label."""
-    cells = pair_counts(df, label_col, prediction_col).where(F.col("label").isin(list(labels)))
-    wide = cells.groupBy("label").pivot("prediction", list(labels)).agg(F.sum("n"))
-    return wide.fillna(0)
+    """One row per true label, one column per predicted label, also for those that never occur."""
+    counts = pair_counts(df, label_col, prediction_col)
+    wide = counts.groupBy("label").pivot("prediction", list(labels)).agg(F.sum("n"))
+    listed = F.array(*(F.lit(v).cast(counts.schema["label"].dataType) for v in dict.fromkeys(labels)))
+    classes = df.sparkSession.range(1).select(F.explode(listed).alias("label"))
+    return classes.join(wide, "label", "left").fillna(0)
 
 
 def classification_report(

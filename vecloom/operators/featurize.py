@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -37,7 +38,8 @@ def featurize(
     ``decode``) or a numeric array. Images are resized to ``size`` (height, width) if given and
     scaled to [-1, 1]. ``weights`` are broadcast, ``model_fn(weights)`` is called once per
     task and the model then sees at most ``rows_per_batch`` rows at a time. Rows
-    without input (NULL, undecodable image, empty array) get NULL features.
+    without input (NULL, undecodable image, empty array) get NULL features; a ``decode`` of your
+    own returns None for a file it can't read.
 
     The work is an iterator UDF over one column, not a whole-row map, so that Catalyst still
     prunes it when the features are not asked for and sends Python nothing but the input. It is
@@ -190,4 +192,6 @@ def _weight_bytes(weights: Any) -> int:
         return sum(_weight_bytes(w) for w in weights)
     if isinstance(weights, bytes | bytearray):
         return len(weights)
-    return int(np.asarray(weights).nbytes)
+    if isinstance(weights, np.ndarray) and weights.dtype != object:
+        return weights.nbytes
+    return len(pickle.dumps(weights))

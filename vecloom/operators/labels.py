@@ -18,25 +18,24 @@ def fit_label_index(
     label_col: str = "Classe",
     output_col: str = "Classe_index",
     handle_invalid: str = "error",
-    max_labels: int = 100_000,
+    max_labels: int | None = None,
 ) -> StringIndexerModel:
     """Index 0 is the most frequent label; ties go by name.
 
     One aggregation that counts within each task first, so a label that holds most of the rows
-    costs no more than any other. The labels become part of the model, so more than
-    ``max_labels`` of them is an error and not a slow failure of the driver.
+    costs no more than any other. The labels become part of the model, so the
+    driver holds them all; more than ``max_labels`` of them, if given, is an error.
     """
-    top = (
+    ranked = (
         df.where(F.col(label_col).isNotNull())
         .groupBy(F.col(label_col).cast("string").alias("label"))
         .count()
         .orderBy(F.desc("count"), "label")
-        .limit(max_labels + 1)  # one too many is an error below
-        .collect()
     )
+    top = (ranked.limit(max_labels + 1) if max_labels else ranked).collect()
     if not top:
         raise ValueError(f"no labels in {label_col}")
-    if len(top) > max_labels:
+    if max_labels and len(top) > max_labels:
         raise ValueError(f"more than {max_labels} labels in {label_col}")
     return StringIndexerModel.from_labels(
         [row.label for row in top], label_col, output_col, handle_invalid
@@ -52,7 +51,10 @@ def label_table(df: DataFrame, model: StringIndexerModel) -> DataFrame:
 def hash_split(
     df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2), seed: int | None = None
 ) -> list[DataFrame]:
-    """Parts by a hash of ``key``: filters only, the same whatever the layout of the rows."""
+    """Parts by a hash of ``key``: filters only, the same whatever the layout of the rows.
+
+    Rows whose key is NULL are in the first part.
+    """
     number = split_number(key, weights, seed)
     return [df.where(number == i) for i in range(len(weights))]
 
@@ -62,7 +64,7 @@ def split_number(
 ) -> Column:
     """The part a row belongs to, from 0."""
     total = float(sum(weights))
-    point = unit_hash(key, seed)
+    point = F.coalesce(unit_hash(key, seed), F.lit(0.0))
     number, bound = F.lit(0), 0.0
     for weight in weights[:-1]:
         bound += weight / total

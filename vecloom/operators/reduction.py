@@ -65,34 +65,33 @@ class Moments:
 
 
 def column_moments(
-    df: DataFrame, input_col: str = "features", max_partials: int = 4096
+    df: DataFrame, input_col: str = "features", max_dims: int = MAX_DIMS
 ) -> Moments:
     """Moments of an array column in one pass over its non-NULL rows.
 
     Each task sends one packed triangle of products (17 MB for 2,048 columns), so the shuffle
-    depends on the number of tasks, not rows; ``max_partials`` bounds it. The triangle's blocks
-    are added up in parallel and only their sums reach the driver.
+    depends on the number of tasks, not rows. The triangle's blocks are added up in parallel, in
+    two levels, and only their sums reach the driver, which holds a matrix of at most
+    ``max_dims`` columns. NaN, infinite or NULL values are an error.
     """
     rows = df.select(F.col(input_col).alias("x")).where(F.col("x").isNotNull())
     head = rows.first()
     if head is None:
         raise ValueError(f"no rows with {input_col}")
     d = len(head.x)
-    if not 0 < d <= MAX_DIMS:
-        raise ValueError(f"{d} columns: the products matrix is held for 1 to {MAX_DIMS}")
+    if not 0 < d <= max_dims:
+        raise ValueError(f"{d} columns: the products matrix is held for 1 to {max_dims}")
     # Any row will do to shift by: it keeps the sums small, and constant columns exactly 0.
     shift = np.asarray(head.x, np.float64)
-    sums = (
-        rows.coalesce(max_partials)
-        .mapInArrow(_partial_products(shift), "block int, n long, products array<double>")
-        .groupBy("block")
-        .agg(
+    partials = rows.mapInArrow(
+        _partial_products(shift), "block int, n long, products array<double>"
+    )
+    for keys in (("block", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")), ("block",)):
+        partials = partials.groupBy(*keys).agg(
             F.sum("n").alias("n"),
             vector_to_array(Summarizer.sum(array_to_vector("products"))).alias("products"),
         )
-        .toArrow()
-        .sort_by("block")
-    )
+    sums = partials.toArrow().sort_by("block")
     n = sums["n"][0].as_py()
     if n < 2:
         raise ValueError("moments need at least two rows")
@@ -121,6 +120,9 @@ def _partial_products(shift: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]],
             if not np.all(lists.value_lengths().to_numpy() == d):
                 raise ValueError(f"vectors of mixed length: want {d}")
             x = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, d) - shift
+            odd = len(x) - int(np.isfinite(x).all(axis=1).sum())
+            if odd:
+                raise ValueError(f"{odd} vectors of a batch hold NULL or values that aren't finite")
             n += len(x)
             total += x.sum(axis=0)
             products += x.T @ x
@@ -217,8 +219,8 @@ class Choice:
     cumulative: float
 
 
-def choose_k(model: Components, threshold: float = 0.95, width: int = 400) -> Choice:
-    """The fewest components, of the first ``width``, that reach ``threshold``."""
+def choose_k(model: Components, threshold: float = 0.95, width: int | None = None) -> Choice:
+    """The fewest components, of the first ``width`` (None: of all), that reach ``threshold``."""
     curve = model.cumulative[:width]
     reached = np.flatnonzero(curve >= threshold)
     if not len(reached):

@@ -36,14 +36,18 @@ def gray_level(value: Column) -> Column:
 def write_bitmaps(df: DataFrame, vector_col: str, class_col: str, path: str) -> None:
     """One file per row at ``path/Classe=<class>/``: red g, green g div 2, blue 127 - g.
 
-    The first value is the bottom left pixel, as rows are stored from the bottom.
+    The first value is the bottom left pixel, as rows are stored from the bottom. Vectors of any
+    length but ``SIDE`` squared are an error.
     """
+    whole = F.when(F.size(vector_col) == SIDE * SIDE, F.col(vector_col)).otherwise(
+        F.raise_error(F.lit(f"want vectors of {SIDE * SIDE}")).cast("array<float>")
+    )
 
     def pixel(value: Column) -> Column:
         g = gray_level(value)
         return F.concat(F.char(127 - g), F.char(F.floor(g / 2).cast("int")), F.char(g))
 
-    pixels = F.transform(F.slice(vector_col, 1, SIDE * SIDE), pixel)
+    pixels = F.transform(whole, pixel)
     (
         df.repartition(df.sparkSession.sparkContext.defaultParallelism)
         .select(

@@ -60,7 +60,7 @@ def reduce_features(
     out: str,
     k: int | None = None,
     threshold: float = 0.95,
-    width: int = 400,
+    width: int | None = None,
     fit_on: str = "all",
     columns: Sequence[str] = REDUCED,
 ) -> tuple[reduction.Components, int]:

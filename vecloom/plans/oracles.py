@@ -86,7 +86,6 @@ CURVE = f"""
 GRAY = f"""
     select vec_id, label, dim, greatest(0, least(126, floor((v + 1) * 63)::int)) as g
     from ({VALUES})
-    where dim < 64
 """
 
 COLORS = f"""
@@ -139,7 +138,8 @@ ORACLES: dict[str, str] = {
     "parquet_roundtrip": """
         select 'class-' || label as "Classe", count(*) as n,
                sum(len(embedding))::bigint as n_values,
-               round(sum(embedding[1]::double) + sum(embedding[-1]::double), 6) + 0.0 as ends
+               round(sum(list_sum(list_transform(embedding,
+                   lambda x, i: x::double * i))), 6) + 0.0 as weighted_sum
         from embeddings group by label
     """,
     "label_from_path": "select page_id, string_split(url, '/')[-2] as label from pages",
@@ -281,9 +281,9 @@ ORACLES: dict[str, str] = {
         from cells
     """,
     "confusion_wide": """
-        select quality as label, count(*) filter (where toxic = 0) as predicted_0,
+        select label, count(*) filter (where toxic = 0) as predicted_0,
                count(*) filter (where toxic = 1) as predicted_1
-        from labels where quality in (0, 1) and toxic is not null group by quality
+        from (values (0), (1), (2)) c(label) left join labels on quality = label group by label
     """,
     "classification_report": f"""
         with p as materialized ({PER_LABEL})

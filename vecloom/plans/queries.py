@@ -89,13 +89,16 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = vectors(spark, sf_dir).withColumn("features_vectors", dense_vector("features"))
     write_features(table, path, ("Classe", "features_vectors"))
     values = vector_to_array("features_vectors")
+    by_place = F.aggregate(
+        F.transform(values, lambda x, i: x * (i + 1)), F.lit(0.0), lambda total, x: total + x
+    )
     return (
         read_features(spark, path, ("Classe", "features_vectors"))
         .groupBy("Classe")
         .agg(
             F.count("*").alias("n"),
             F.sum(F.size(values)).alias("n_values"),
-            rounded(F.sum(F.element_at(values, 1)) + F.sum(F.element_at(values, -1))).alias("ends"),
+            rounded(F.sum(by_place)).alias("weighted_sum"),
         )
     )
 
@@ -348,7 +351,7 @@ def _scores(measure: Callable[..., DataFrame], *ratios: str) -> Query:
 
 
 def confusion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = evaluation.confusion_wide(pairs(spark, sf_dir), (0, 1), TRUTH, GUESS)
+    wide = evaluation.confusion_wide(pairs(spark, sf_dir), (0, 1, 2), TRUTH, GUESS)
     return wide.select("label", F.col("0").alias("predicted_0"), F.col("1").alias("predicted_1"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import Any
 
@@ -42,11 +41,10 @@ def small_frame(spark: SparkSession, **columns: Any) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``, the folder all nodes share.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Where that is unset it is the warehouse, which they share too. Nothing is removed: the folder
+    belongs to the caller.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        base = tempfile.mkdtemp(prefix="vecloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
