@@ -53,26 +53,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     edges inside a merged part are not looked at again. NULL ends are left out.
     """
     edges = saved(edges.select("a", "b").where("a != b").distinct(), name)
-    names = edges.toDF("node", "component").where("false")
-    first = True
+    tops = []
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        low = saved(
-            both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("up")),
-            name,
+        low = both.groupBy(F.col("a").alias("node")).agg(
+            F.least(F.min("b"), F.col("a")).alias("up")
         )
         ends = low.select(F.col("node").alias("up"), F.col("up").alias("top"))
         top = saved(low.join(ends, "up").select("node", "top"), name)
-        if first:
-            names, first = top.toDF("node", "component"), False
-        else:
-            merged = top.toDF("component", "top")
-            names = saved(
-                names.join(merged, "component", "left").select(
-                    "node", F.coalesce("top", "component").alias("component")
-                ),
-                name,
-            )
+        tops.append(top)
         edges = saved(
             edges.join(top.toDF("a", "top_a"), "a")
             .join(top.toDF("b", "top_b"), "b")
@@ -81,4 +70,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct(),
             name,
         )
-    return names
+    if not tops:
+        return edges.toDF("node", "component")
+    names = tops[0].toDF("node", "component")
+    for top in tops[1:]:
+        names = names.join(top.toDF("component", "top"), "component", "left").select(
+            "node", F.coalesce("top", "component").alias("component")
+        )
+    return saved(names, name)
