@@ -92,6 +92,19 @@ def test_scores_equal_a_count_by_hand(tables):
         assert set(lines) == {str(c) for c in seen} | {"accuracy", "macro avg", "weighted avg"}
 
 
+def test_scores_of_the_training_part(tables):
+    trained = tables[5]
+    scores = {r.kind: r for r in flow.compare(trained, part="train").collect()}
+    lines = {(r.kind, r.name): r for r in flow.reports(trained, part="train").collect()}
+    for kind, model in trained.models.items():
+        rows = model.transform(trained.train).select("Classe_index", "prediction").collect()
+        hits = sum(r.Classe_index == r.prediction for r in rows)
+        assert scores[kind].n == lines[kind, "accuracy"].support == len(rows)
+        assert scores[kind].accuracy == pytest.approx(hits / len(rows))
+    with pytest.raises(ValueError, match="part"):
+        flow.compare(trained, part="test")
+
+
 def test_classifiers_learn_the_colors(tables):
     """Over all 90 photos, as the held-out ones are too few for a bound that always holds."""
     trained = tables[5]

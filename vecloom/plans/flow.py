@@ -122,12 +122,17 @@ def predictions(models: dict[str, Model], df: DataFrame) -> DataFrame:
     return df.select("path", "Classe_index", F.inline(F.array(*both)))
 
 
-def compare(trained: Trained) -> DataFrame:
-    """``kind, n, accuracy, test_error`` on the validation part."""
-    return evaluation.accuracy(predictions(trained.models, trained.valid), by=("kind",))
+def _scored(trained: Trained, part: str) -> DataFrame:
+    if part not in ("train", "valid"):
+        raise ValueError(f"part is {part}: want train or valid")
+    return predictions(trained.models, getattr(trained, part))
 
 
-def reports(trained: Trained) -> DataFrame:
-    """The classification report of each kind on the validation part."""
-    scored = predictions(trained.models, trained.valid)
-    return evaluation.classification_report(scored, by=("kind",))
+def compare(trained: Trained, part: str = "valid") -> DataFrame:
+    """``kind, n, accuracy, test_error`` on the validation or the training part."""
+    return evaluation.accuracy(_scored(trained, part), by=("kind",))
+
+
+def reports(trained: Trained, part: str = "valid") -> DataFrame:
+    """The classification report of each kind on the validation or the training part."""
+    return evaluation.classification_report(_scored(trained, part), by=("kind",))
