@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from pictures import photo_folder, write_png
-from vecloom.functions import label_from_path
+from vecloom.functions import label_from_path, label_from_uri
 from vecloom.operators.featurize import to_rgb
 from vecloom.session import scan_settings, scratch_path
 from vecloom.sources import (
@@ -153,3 +153,19 @@ def test_scan_settings_pack_small_files(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_labels_from_uris(spark):
+    wanted = {
+        "file:/p/Plum%20%C3%A9/1.png": "Plum é", "file:/p/a+b/1.png": "a+b", "file:/p/50%25/1.png": "50%",
+        "file:/p/Kiwi/1.png": "Kiwi", "file:/p/100%/1.png": "100%", "alone": None, None: None,
+    }
+    df = spark.createDataFrame([(u,) for u in wanted], "uri string")
+    got = {r.uri: r.l for r in df.select("uri", label_from_uri("uri").alias("l")).collect()}
+    assert got == wanted
+
+
+def test_images_and_files_have_the_same_labels(spark, photos):
+    images = read_images(spark, str(photos)).select(label_from_uri("image.origin").alias("l"))
+    files = read_files(spark, str(photos)).select(label_from_path("path").alias("l"))
+    assert {r.l for r in images.collect()} == {r.l for r in files.collect()}

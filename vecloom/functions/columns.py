@@ -13,6 +13,16 @@ def label_from_path(path: str | Column, level: int = -2) -> Column:
     return F.try_element_at(F.split(path, "/"), F.lit(level))
 
 
+def label_from_uri(uri: str | Column, level: int = -2) -> Column:
+    """As :func:`label_from_path` where special characters are escaped, as in ``image.origin``.
+
+    Escapes that can't be read are left as they are.
+    """
+    label = label_from_path(uri, level)
+    plain = F.try_url_decode(F.replace(label, F.lit("+"), F.lit("%2B")))  # a plus is no blank here
+    return F.coalesce(plain, label)
+
+
 def dense_vector(values: str | Column) -> Column:
     """Numeric array to vector; NULL stays NULL."""
     values = F.col(values) if isinstance(values, str) else values

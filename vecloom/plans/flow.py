@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions import label_from_path
@@ -31,15 +31,18 @@ def extract_features(
     input_col: str = "content",
     path_col: str = "path",
     mode: str = "overwrite",
+    label_of: Callable[[str], Column] = label_from_path,
     **options: Any,
 ) -> dict[str, int]:
     """Write ``path, Classe, features``; the options are those of :func:`featurize`.
 
+    ``label_of=label_from_uri`` reads labels off ``image.origin``, where paths are escaped.
+
     Returns how many rows were written and how many of them lack a label or features, counted
     while writing. The driver lists all files of ``df``, so take a collection of more than some
     ten million files folder by folder, with ``mode='append'``.
     """
-    labelled = df.withColumn("Classe", label_from_path(path_col))
+    labelled = df.withColumn("Classe", label_of(path_col))
     table = featurize(labelled, input_col, model_fn, **options).select(
         F.col(path_col).alias("path"), "Classe", "features"
     )
