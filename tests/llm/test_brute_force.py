@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from itertools import product
 
 import duckdb
@@ -207,5 +208,29 @@ def test_shards_are_even(spark, sf_dir):
         assert sorted(part.slot) == list(range(len(part)))
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 9, 20])
+def test_shards_hold_every_row(spark, tmp_path, n):
+    """Shards that no block enters or leaves too."""
+    sizes = [0] * 5
+    rows = []
+    for k in range(10**6):  # nine rows: 1, 2, 2, 2, 2 texts of equal size in the old shards
+        text = f"{k:06d}"
+        old = zlib.crc32(text.encode()) % 5
+        if len(rows) < n and sizes[old] < (1 if old == 0 and n == 9 else -(-n // 5)):
+            sizes[old] += 1
+            rows.append((k, text))
+        if len(rows) == n:
+            break
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op6_resharding"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text_crc32) for r in got) == sorted(
+        (k, zlib.crc32(t.encode())) for k, t in rows
+    )
+    for shard in {r.shard for r in got}:
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_statistics_of_no_words():
     assert classifier.statistics(None) == classifier.statistics("  ")

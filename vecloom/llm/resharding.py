@@ -4,7 +4,8 @@ From the bytes in each old shard and the capacities of the new ones, a minimum-c
 bytes to send from each old shard to each new one such that the fewest move. Documents are grouped
 into blocks (old shard, size class, checksum of the text); whole blocks are transferred until
 the flow is met, the largest documents staying where they are, and single blocks then even out
-what is left. Only shards that blocks enter or leave are written anew.
+what is left. Where the old shards are stored, only those that blocks enter or leave need be
+written anew (:func:`write_affected`); else all are written (:func:`write_shards`).
 
 The driver sees the blocks' totals, at most ``old shards * 64 * BUCKETS`` of them, whatever the
 size of the corpus. A block that holds much more than its part (a text with very many copies) is
@@ -178,8 +179,16 @@ def reshard(
     return placed.select("doc_id", "text", "old", "shard", "slot"), plan
 
 
+def write_shards(placed: DataFrame, path: str) -> None:
+    """Writes every shard, a folder each: for rows whose old shards are not stored as files."""
+    placed.select("doc_id", "text", "slot", "shard").write.partitionBy("shard").parquet(path)
+
+
 def write_affected(placed: DataFrame, plan: Transfers, path: str) -> None:
-    """Writes the shards that blocks enter or leave, a folder each; the others stay as they are."""
+    """Writes the shards that blocks enter or leave, a folder each; the others stay as they are.
+
+    The path has no other shards: only for old shards that are stored elsewhere, to be read there.
+    """
     chosen = placed.where(F.col("shard").isin(plan.affected)) if plan.affected else placed
     chosen.select("doc_id", "text", "slot", "shard").write.partitionBy("shard").parquet(path)
 
