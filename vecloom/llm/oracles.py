@@ -126,9 +126,62 @@ OP10 = r"""
     from fits where nth = 1
 """
 
+OP12 = """
+    with texts as (select doc_id, coalesce(text, '') as text from documents)
+    select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+           row_number() over (same order by doc_id desc) = 1 as kept, sha256(text) as text_sha256
+    from texts window same as (partition by text)
+"""
+
+OP13 = r"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    ), split as (
+        select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'),
+                                 lambda x: x <> '') as w
+        from pieces
+    ), totals as (
+        select lang, sum(len(w))::hugeint as n from split group by lang
+    ), grams as (
+        select lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                                              lambda i: w[i:i + k - 1])) as p
+        from split, range(1, 6) t(k) where len(w) >= k
+    ), counts as (
+        select lang, k, p, count(*)::hugeint as f from grams group by lang, k, p
+        having count(*) >= 100
+    ), inner_parts as (
+        select lang, p[1:k - 1] as p, f from counts where k >= 3
+        union all select lang, p[2:k] as p, f from counts where k >= 3
+    ), stay as (
+        select * from counts c where k >= 2 and not exists (
+            select 1 from inner_parts i where i.lang = c.lang and i.p = c.p and i.f >= c.f)
+    ), cuts as (
+        select s.lang, s.p, s.f as a, cut, x.f as l, y.f as r, t.n,
+               (1000 * s.f * t.n) // (x.f * y.f) as score
+        from (select *, unnest(range(1, k)) as cut from stay) s
+        join counts x on x.lang = s.lang and x.p = s.p[1:cut]
+        join counts y on y.lang = s.lang and y.p = s.p[cut + 1:s.k]
+        join totals t on t.lang = s.lang
+    ), lowest as (
+        select *, row_number() over (partition by lang, p order by score, cut) as nth from cuts
+    ), ranked as (
+        select *, array_to_string(p, ' ') as phrase, row_number() over (
+            partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank
+        from lowest where nth = 1
+    )
+    select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+           score::bigint as score
+    from ranked where rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2,
     "op7_chat": OP7,
     "op8_quality_rules": OP8,
     "op10_url_filter": OP10,
+    "op12_exact_dedup": OP12,
+    "op13_collocations": OP13,
 }

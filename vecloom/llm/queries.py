@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecloom.llm import (
-    chat, classifier, decontaminate, line_dedup, near_dedup, packing, quality_rules, resharding,
-    token_files, url_filter,
+    chat, classifier, collocations, decontaminate, exact_dedup, line_dedup, near_dedup, packing,
+    quality_rules, resharding, runs, token_files, url_filter,
 )
-from vecloom.llm.common import saved, scratch
+from vecloom.llm.common import saved, scratch, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,6 +151,60 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def planted_loops(docs: DataFrame) -> DataFrame:
+    """The documents, every tenth (by the checksum of its id) made periodic from some word on."""
+    check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(check / 10)
+    n = F.size("w").cast("bigint")
+    a = g % n
+    period = 1 + F.floor((n - a) / (3 + g % 8))
+    place = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), n - 1),
+        lambda i: F.get("w", F.when(i < a, i).otherwise(a + (i - a) % period).cast("int")),
+    )
+    looped = (check % 10 == 0) & (F.size(words("text")) > 0)
+    chosen = docs.withColumn("w", F.when(looped, words("text")))
+    return chosen.withColumn(
+        "text", F.when(F.col("w").isNull(), F.col("text")).otherwise(F.array_join(place, " "))
+    ).drop("w")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_loops(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.periodic_runs(docs, keep_columns=["doc_id"])
+    first = F.array_sort(
+        F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"]))
+    )[0]
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = found.withColumn("best", F.when(F.size("runs") > 0, first))
+    length, period = F.col("best.length"), F.col("best.period")
+    return best.select(
+        "doc.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.deduplicated(
+        table(spark, sf_dir, "documents"), keep="largest", keep_columns=["doc_id"]
+    )
+    return found.select(
+        "doc.doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -162,4 +216,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_collocations": op13_collocations,
 }
