@@ -41,10 +41,15 @@ def small_frame(spark: SparkSession, **columns: Any) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``, the folder all nodes share.
 
-    Where that is unset it is the warehouse, which they share too. Nothing is removed: the folder
-    belongs to the caller.
+    Where that is unset it is the warehouse, if nodes share that too: in local mode, or where its
+    path names a store other than local files. Else it is an error, since executors would write
+    to disks of their own. Nothing is removed: the folder belongs to the caller.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        store = base.partition(":")[0] if ":" in base else "file"
+        local = spark.sparkContext.master.partition("[")[0] == "local"
+        if store == "file" and not local:
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
