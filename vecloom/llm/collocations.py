@@ -41,7 +41,8 @@ from vecloom.llm.tokens import slices
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
-MAP_BITS = 26
+COUNT_BITS = 40  # of a fingerprint that are counted; the last scan tells clashes apart
+MAP_BITS = 26  # the first of them
 MAP_BUCKET = 15  # bits of a place in one row of the map
 SLICE_BYTES = 4 << 20
 HELD = 1 << 21  # fingerprints or phrases that a task holds back before it emits them
@@ -80,7 +81,8 @@ def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Batch:
     """Texts cut into words: exact codes, and fingerprints of the n-grams inside pieces."""
 
-    def __init__(self, texts: pa.Array, langs: pa.Array):
+    def __init__(self, texts: pa.Array, langs: pa.Array, print_bits: int = 64):
+        self.cut = np.uint64(64 - print_bits)
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         _, offsets, content = texts.buffers()
         bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -132,7 +134,8 @@ class Batch:
 
     def prints(self, at: np.ndarray, n: int) -> np.ndarray:
         """Fingerprints of the n-grams at the places, language included."""
-        return mixed((self.sums[at + n] - self.sums[at]) * self.down[at] ^ self.seed[at])
+        whole = mixed((self.sums[at + n] - self.sums[at]) * self.down[at] ^ self.seed[at])
+        return whole >> self.cut << self.cut
 
     def phrase(self, at: np.ndarray, n: int) -> pa.Array:
         """The words there, joined by one blank."""
@@ -149,7 +152,7 @@ def passes(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 def _frequent_map(counted: DataFrame) -> np.ndarray:
     """The bit map of the fingerprints ``print``: ``2**MAP_BITS`` bits, however many there are."""
-    slot = F.call_function("shiftrightunsigned", F.col("print"), F.lit(64 - MAP_BITS))
+    slot = F.shiftright("print", COUNT_BITS - MAP_BITS)
     rows = (
         counted.select(
             F.shiftright(slot, MAP_BUCKET).alias("bucket"),
@@ -166,14 +169,16 @@ def _frequent_map(counted: DataFrame) -> np.ndarray:
     return bits
 
 
-def _batches(batches: Iterator[pa.RecordBatch], text: int, lang: int):
+def _batches(batches: Iterator[pa.RecordBatch], text: int, lang: int, print_bits: int):
     for batch in batches:
         for part in slices(batch, text, SLICE_BYTES):
-            yield part, Batch(part.column(text), part.column(lang))
+            yield part, Batch(part.column(text), part.column(lang), print_bits)
 
 
-def _counted_prints(rows: DataFrame, n: int, shorter, min_count: int) -> DataFrame:
-    """``print, n``: the n-grams' fingerprints that occur often enough; ``shorter`` is the
+def _counted_prints(
+    rows: DataFrame, n: int, shorter, min_count: int, print_bits: int
+) -> DataFrame:
+    """``print, n``: the first bits of the n-grams' fingerprints that occur often enough; ``shorter`` is the
     broadcast map of those of ``n - 1`` words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,16 +194,17 @@ def _counted_prints(rows: DataFrame, n: int, shorter, min_count: int) -> DataFra
             for a in range(0, len(prints), 1 << 17):
                 part = slice(a, a + (1 << 17))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints[part].view(np.int64)), pa.array(counts[part])],
+                    [pa.array(prints[part].astype(np.int64)), pa.array(counts[part])],
                     names=["print", "n"],
                 )
 
-        for _, batch in _batches(batches, 0, 1):
+        for _, batch in _batches(batches, 0, 1, print_bits):
             at = batch.grams(n)
             if shorter is not None:
                 for k in range(2):
                     at = at[passes(shorter.value, batch.prints(at + k, n - 1))]
-            held.append(np.unique(batch.prints(at, n), return_counts=True))
+            short = batch.prints(at, n) >> np.uint64(64 - COUNT_BITS)
+            held.append(np.unique(short, return_counts=True))
             if sum(len(x) for x, _ in held) > HELD:
                 held = [merged()]
                 if len(held[0][0]) > HELD // 2:
@@ -210,7 +216,9 @@ def _counted_prints(rows: DataFrame, n: int, shorter, min_count: int) -> DataFra
     return counts.groupBy("print").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
-def _phrase_counts(rows: DataFrame, maps: list, id_type: T.DataType) -> DataFrame:
+def _phrase_counts(
+    rows: DataFrame, maps: list, id_type: T.DataType, print_bits: int
+) -> DataFrame:
     """``lang, words, phrase, n, at`` of all phrases whose fingerprints are in the maps.
 
     ``words`` is the phrase's number of words, 0 in the row that counts a language's words;
@@ -265,7 +273,7 @@ def _phrase_counts(rows: DataFrame, maps: list, id_type: T.DataType) -> DataFram
                 {"n_sum": "n", "doc_id_first": "doc_id", "place_first": "place"}
             ).select(schema.names)
 
-        for part, batch in _batches(batches, 1, 2):
+        for part, batch in _batches(batches, 1, 2, print_bits):
             held.append(totals(batch, part.column(0)))
             at = batch.grams(1)
             for n, bits in enumerate(maps, 1):
@@ -291,7 +299,9 @@ def _phrase_counts(rows: DataFrame, maps: list, id_type: T.DataType) -> DataFram
         if held:
             yield from merged().to_batches(1 << 16)
 
-    counts = rows.select("doc_id", "text", "lang").mapInArrow(count, schema)
+    # two tasks to a core: a phrase costs a row in each of them
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    counts = rows.select("doc_id", "text", "lang").coalesce(tasks).mapInArrow(count, schema)
     return counts.groupBy("lang", "words", "phrase").agg(
         F.sum("n").alias("n"), F.min(F.struct("doc_id", "place")).alias("at")
     )
@@ -304,9 +314,13 @@ def phrase_counts(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    print_bits: int = 64,
 ) -> DataFrame:
     """``lang, words, phrase, n, at``: exact counts of all phrases of up to ``longest`` words that
-    occur ``min_count`` times in a language, and its words in all (``words`` = 0)."""
+    occur ``min_count`` times in a language, and its words in all (``words`` = 0).
+
+    Fingerprints of fewer ``print_bits`` clash more often and give the same result.
+    """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{text_col}`").alias("text"),
@@ -315,9 +329,9 @@ def phrase_counts(
     context = docs.sparkSession.sparkContext
     maps = []
     for n in range(1, longest + 1):
-        frequent = _counted_prints(rows, n, maps[-1] if maps else None, min_count)
+        frequent = _counted_prints(rows, n, maps[-1] if maps else None, min_count, print_bits)
         maps.append(context.broadcast(_frequent_map(frequent)))
-    counted = _phrase_counts(rows, maps, rows.schema["doc_id"].dataType)
+    counted = _phrase_counts(rows, maps, rows.schema["doc_id"].dataType, print_bits)
     return saved(counted.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases")
 
 
@@ -407,8 +421,8 @@ def collocations(
     min_count: int = MIN_COUNT,
     top: int = TOP,
     absorb_percent: int = 100,
-    **columns: str,
+    **options,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score, at``: each language's best phrases."""
-    counts = phrase_counts(docs, longest, min_count, **columns)
+    counts = phrase_counts(docs, longest, min_count, **options)
     return best_phrases(saved(scored(counts, absorb_percent), "scored"), top)
