@@ -1,0 +1,118 @@
+"""Collocations against plain counting, exact arithmetic and forced fingerprint clashes."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from vecloom.llm import collocations
+
+
+def counts_of(rows, longest):
+    counts, totals = defaultdict(Counter), Counter()
+    for _, text, lang, *_ in rows:
+        lang = lang or "und"
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, longest + 1):
+                for i in range(len(words) - n + 1):
+                    counts[lang][tuple(words[i : i + n])] += 1
+    return counts, totals
+
+
+def inside(a, b):
+    return any(b[i : i + len(a)] == a for i in range(len(b) - len(a) + 1))
+
+
+def best_of(rows, longest, least, top, percent):
+    counts, totals = counts_of(rows, longest)
+    out = []
+    for lang, f in counts.items():
+        n = totals[lang]
+        cands = [p for p in f if len(p) >= 2 and f[p] >= least]
+        found = []
+        for p in cands:
+            if any(len(q) > len(p) and inside(p, q) and 100 * f[q] >= percent * f[p] for q in cands):
+                continue
+            cuts = [(1000 * f[p] * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            found.append((score, f[p], " ".join(p), f[p[:k]], f[p[k:]]))
+        found.sort(key=lambda x: (-x[0], -x[1], x[2].encode()))
+        out += [(lang, i, p, a, l, r, n, s) for i, (s, a, p, l, r) in enumerate(found[:top], 1)]
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(2)
+    words = ["a", "B", "Été", "été", "new", "York", "city", "x-y", "\U0001f600", "z'"]
+    blanks = [" ", "  ", "\t", ", ", ".", "\n", " "]
+    rows = []
+    for i in range(300):
+        text = "".join(rng.choice(words) + rng.choice(blanks[:1] * 12 + blanks) for _ in range(60))
+        rows.append((rng.choice([None, i % 40]), text, rng.choice(["en", "en", "fr", None]), 1, 2, 3))
+    hot = ("new york city " * 300, "en")
+    return rows + [(7, *hot, 1, 2, 3)] * 3 + [(8, None, "en", 1, 2, 3), (9, "", "de", 1, 2, 3)]
+
+
+SCHEMA = "doc_id bigint, text string, lang string, n int, words int, phrase int"
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def run(spark, rows, **options):
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    out = collocations.collocations(frame, **options)
+    return sorted(tuple(r) for r in out.select(*COLUMNS).collect())
+
+
+@pytest.mark.parametrize("longest,least,top,percent", [(5, 20, 2000, 100), (4, 5, 7, 90), (2, 1, 50, 50)])
+def test_equals_plain_counting(spark, rows, longest, least, top, percent, monkeypatch):
+    monkeypatch.setattr(collocations, "HOT", 5)
+    got = run(spark, rows, longest=longest, min_count=least, top=top, absorb_percent=percent)
+    assert got == best_of(rows, longest, least, top, percent)
+
+
+def test_fingerprints_that_clash_are_verified(spark, rows, monkeypatch):
+    """32 different fingerprints, and tasks that emit all the time."""
+    monkeypatch.setattr(collocations, "HELD", 64)
+    got = run(spark, rows, min_count=20, print_bits=5)
+    assert got == best_of(rows, 5, 20, 2000, 100)
+
+
+def test_prefix_polynomials():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 1 << 63, 50).astype(np.uint64)
+    values[30:34] = values[3:7]
+    sums, down = collocations.prefix_sums(values)
+    prints = [(sums[i + 4] - sums[i]) * down[i] for i in range(46)]
+    assert prints[3] == prints[30] and len(set(map(int, prints))) == 45
+    assert int(collocations.BASE) * int(collocations.INVERSE) % (1 << 64) == 1
+
+
+def test_products_beyond_64_bits(spark):
+    big = 9 * 10**15
+    counts = spark.createDataFrame(
+        [("x", 0, "", 9 * 10**17, None), ("x", 2, "a b", big, None), ("x", 1, "a", big + 1, None),
+         ("x", 1, "b", big + 2, None)],
+        "lang string, words int, phrase string, n bigint, at struct<doc_id: int, place: bigint>",
+    )
+    row = collocations.scored(counts).first()
+    assert row.score == 1000 * big * 9 * 10**17 // ((big + 1) * (big + 2))
+
+
+def test_pointers_and_empty_tables(spark, rows):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    texts = defaultdict(list)
+    for i, text, lang, *_ in rows:
+        texts[i, lang or "und"].append(re.findall(r"[^\x20\x09-\x0D.,;:!?]+", (text or "").lower()))
+    for r in collocations.collocations(frame, min_count=20).collect():
+        words = r.phrase.lower().split(" ")
+        found = texts[r["at"].doc_id, r.lang]
+        assert any(w[r["at"].place : r["at"].place + len(words)] == words for w in found)
+    assert collocations.collocations(frame.where("false")).count() == 0
