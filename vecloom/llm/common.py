@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.session import scratch_path
+
 SPACE = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
@@ -22,14 +22,8 @@ def lower_ascii(text: Column | str) -> Column:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all nodes share.
-
-    That is ``spark.checkpoint.dir``; where it is unset, as in tests, the warehouse.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A new path in the folder all nodes share (see :func:`vecloom.session.scratch_path`)."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def saved(frame: DataFrame, name: str) -> DataFrame:
@@ -40,6 +34,15 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``doc, row``: the rows in a struct of their columns, each with a number of its own.
+
+    Written once, so that later jobs, and repeated tasks, see the same numbers.
+    """
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    return saved(docs.select(doc, F.monotonically_increasing_id().alias("row")), name)
+
+
 def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame of short rows may be broadcast: it has ``rows`` rows at most."""
     return frame.limit(rows + 1).count() <= rows
