@@ -10,8 +10,10 @@ document.
 
 Native: DataFrame functions only.
 
-Defined results: items of fewer than five words have no shingle and match nothing, like NULL and
-empty texts. Repeated rows are each judged, as are rows without an id. Repeated items with one id
+Items of fewer than five words are one shingle of their own length, looked up whole among the
+documents' runs of that many words.
+
+Defined results: items without words (NULL and empty texts) match nothing. Repeated rows are each judged, as are rows without an id. Repeated items with one id
 count once per different text. An empty benchmark or table gives no pairs. The result has the
 documents' id, not their other columns.
 """
@@ -57,12 +59,12 @@ def shingles(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _runs(hashes: str) -> Column:
+def _runs(hashes: str, n: int = WORDS) -> Column:
     run = F.transform(
-        F.sequence(F.lit(0), F.size(hashes) - WORDS),
-        lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(WORDS))),
+        F.sequence(F.lit(0), F.size(hashes) - n),
+        lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(n))),
     )
-    return F.when(F.size(hashes) >= WORDS, run)
+    return F.when(F.size(hashes) >= n, run)
 
 
 def with_shingles(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -72,6 +74,32 @@ def with_shingles(rows: DataFrame, text: str, out: str) -> DataFrame:
     )
 
 
+def _slices(n: Column) -> Column:
+    """Hashes of all runs of ``n`` hashes."""
+    at = F.sequence(F.lit(1), F.size("hashes") - n + 1)
+    return F.transform(at, lambda i: F.xxhash64(F.slice("hashes", i, n)))
+
+
+def short_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``t, item``: the texts (``t, hashes``) that hold an item (``item, hashes``) of fewer than
+    five words."""
+    lengths = [r[0] for r in items.select(F.size("hashes")).distinct().collect()]  # four at most
+    keys = items.select(
+        "item",
+        F.size("hashes").alias("n"),
+        F.xxhash64("hashes").alias("key"),
+    )
+    keys = F.broadcast(keys) if small(keys) else keys
+    found = docs.select("t", F.lit(None).cast("bigint").alias("item")).where("false")
+    for n in sorted(lengths):
+        run = _slices(F.lit(n))
+        each = docs.where(F.size("hashes") >= n).select(
+            "t", F.explode(F.array_distinct(run)).alias("key")
+        )
+        found = found.union(each.join(keys.where(F.col("n") == n), "key").select("t", "item"))
+    return found.distinct()
+
+
 def bits_of(size: Column, item_class: Column, classes: list[int], share: float) -> Column:
     """``bins`` for a window of ``size`` shingles and an item of the class."""
     p = F.lit(64)
@@ -125,24 +153,60 @@ def contaminated(
 
 
 def _search(docs: DataFrame, benchmark: DataFrame, share: tuple[int, int]) -> DataFrame:
-    level = share[0] / share[1]
+    whole = F.array(F.xxhash64("hashes"))
+    items = saved(
+        benchmark.withColumn("hashes", shingles(F.col("body")))
+        .withColumn("runs", _runs("hashes"))
+        .where(F.size("hashes") > 0)
+        .select(
+            "item_id",
+            F.least(F.size("hashes"), F.lit(WORDS)).alias("words"),
+            "hashes",
+            F.coalesce(F.array_distinct("runs"), whole).alias("items"),
+        ),
+        "item-words",
+    )
     items = saved(
-        with_shingles(benchmark, "body", "s")
-        .select("item_id", F.array_distinct("s").alias("items"))
-        .withColumn("n_item", F.size("items").cast("bigint"))
-        .withColumn("item", F.xxhash64("items")),
+        items.select(
+            "item_id",
+            "words",
+            F.when(F.col("words") < WORDS, F.col("hashes")).alias("hashes"),
+            "items",
+            F.size("items").cast("bigint").alias("n_item"),
+            F.xxhash64("words", "items").alias("item"),
+        ).distinct(),
         "items",
     )
-    items = items.where("n_item > 0").distinct()
+    bodies = docs.select("body").withColumn("t", F.xxhash64("body"))
+    short = items.where(F.col("words") < WORDS)
+    pairs = short_pairs(
+        bodies.select("t", shingles(F.col("body")).alias("hashes")), short.select("item", "hashes")
+    )
+    pairs = pairs.union(long_pairs(bodies, items.where(F.col("words") == WORDS), share))
+    pairs = saved(pairs.distinct(), "pairs")
+    pairs = F.broadcast(pairs) if small(pairs) else pairs
+    found = docs.withColumn("t", F.xxhash64("body")).join(pairs, "t")
+    found = found.join(items.drop("hashes"), "item").withColumn("hashes", shingles(F.col("body")))
+    found = found.withColumn("runs", _runs("hashes"))
+    n = F.col("words")
+    found = found.withColumn("short", F.when((n < WORDS) & (F.size("hashes") >= n), _slices(n)))
+    there = F.when(n == WORDS, F.col("runs")).otherwise(F.col("short"))
+    counted = found.select(
+        "doc_id", "item_id", "n_item", F.sha2("body", 256).alias("digest"),
+        F.size(F.array_intersect("items", there)).cast("bigint").alias("n_hits"),
+    )
+    # written first: Spark would move the condition, and with it the whole search, into the scan
+    return saved(counted, "counted").where(
+        share[1] * F.col("n_hits") >= share[0] * F.col("n_item")
+    )
+
+
+def long_pairs(docs: DataFrame, items: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``t, item``: texts (``t, body``) and items of five words or more that may lie in them."""
+    level = share[0] / share[1]
     bounds = items.agg(F.min("n_item"), F.max("n_item")).first()
     if bounds[0] is None:
-        return docs.where("false").select(
-            "doc_id",
-            F.sha2("body", 256).alias("digest"),
-            F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
-            F.lit(0).cast("bigint").alias("n_hits"),
-            F.lit(0).cast("bigint").alias("n_item"),
-        )
+        return docs.select("t", F.lit(None).cast("bigint").alias("item")).where("false")
     classes = [
         c for c, above in zip(ITEM_SIZES, (*ITEM_SIZES[1:], 1 << 62), strict=True)
         if bounds[0] < above and bounds[1] >= c
@@ -152,12 +216,11 @@ def _search(docs: DataFrame, benchmark: DataFrame, share: tuple[int, int]) -> Da
         item_class = F.when(F.col("n_item") >= c, c).otherwise(item_class)
     keys = items.select(
         "item", item_class.alias("of_class"), F.explode("items").alias("key")
-    )
+    ).distinct()
     overlap = min(bounds[1], WINDOW // 2)  # longer items leave a large part in some window
     step = WINDOW - overlap
     windows = (
-        with_shingles(docs.select("body"), "body", "all")
-        .withColumn("t", F.xxhash64("body"))
+        with_shingles(docs, "body", "all")
         .withColumn(
             "at",
             F.explode(
@@ -171,17 +234,7 @@ def _search(docs: DataFrame, benchmark: DataFrame, share: tuple[int, int]) -> Da
     finest = bits_of(size, F.lit(classes[0]), classes, level)
     met = minima(windows, finest).join(keys, F.col("x") == F.col("key"))
     met = met.where(is_minimum(F.col("apart"), bits_of(size, F.col("of_class"), classes, level)))
-    pairs = saved(met.select("t", "item").distinct(), "pairs")
-    pairs = F.broadcast(pairs) if small(pairs) else pairs
-    found = docs.withColumn("t", F.xxhash64("body")).join(pairs, "t").join(items, "item")
-    counted = with_shingles(found, "body", "all").select(
-        "doc_id", "item_id", "n_item", F.sha2("body", 256).alias("digest"),
-        F.size(F.array_intersect("items", "all")).cast("bigint").alias("n_hits"),
-    )
-    # written first: Spark would move the condition, and with it the whole search, into the scan
-    return saved(counted, "counted").where(
-        share[1] * F.col("n_hits") >= share[0] * F.col("n_item")
-    )
+    return met.select("t", "item")
 
 
 def clean_documents(
@@ -190,13 +243,15 @@ def clean_documents(
     """The documents that contain no item, with their own columns."""
     share = options.pop("share", SHARE)
     found = _search(
-        docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("body")),
+        docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("body")),
         benchmark.select(
             F.col(options.get("item_col", "item_id")).alias("item_id"),
             F.col(options.get("item_text_col", "text")).alias("body"),
         ),
         share,
     )
-    texts = saved(found.select(F.col("digest").alias("_leaks")).distinct(), "leaks")
+    texts = saved(found.select(F.col("digest").alias("leaks")).distinct(), "leaks")
     texts = F.broadcast(texts) if small(texts) else texts
-    return docs.join(texts, F.sha2(docs[text_col], 256) == F.col("_leaks"), "left_anti")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    digest = F.sha2(F.col(f"doc.`{text_col}`"), 256)
+    return rows.join(texts, digest == F.col("leaks"), "left_anti").select("doc.*")

@@ -9,23 +9,31 @@ def escaped(column: str) -> str:
     return rf"regexp_replace({column}, '([<\[\\])', '\1\\', 'g')"
 
 
-RUNS = r"""
-    select {id} as id, unnest(list_distinct(list_transform(range(1, len(w) - 3),
-        lambda i: array_to_string(w[i:i + 4], ' ')))) as g
-    from (
-        select {id}, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
-                                                       '[^\p{{L}}\p{{N}}]+'),
-                                 lambda x: x <> '') as w
-        from {table}
-    ) where len(w) >= 5
+SPLIT = r"""
+    select {id} as id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+                                                         '[^\p{{L}}\p{{N}}]+'),
+                                   lambda x: x <> '') as w
+    from {table}
 """
 
+# Items of fewer than five words are one shingle of their length.
 OP2 = f"""
-    with items as ({RUNS.format(id="item_id", table="benchmark")}),
-    docs as ({RUNS.format(id="doc_id", table="documents")}),
+    with i_words as ({SPLIT.format(id="item_id", table="benchmark")}),
+    d_words as ({SPLIT.format(id="doc_id", table="documents")}),
+    items as (
+        select id, least(len(w), 5) as k, unnest(list_distinct(list_transform(
+            range(1, len(w) - least(len(w), 5) + 2),
+            lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' ')))) as g
+        from i_words where len(w) > 0
+    ),
+    docs as (
+        select id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2),
+            lambda i: array_to_string(w[i:i + k - 1], ' ')))) as g
+        from d_words, (select distinct k from items) where len(w) >= k
+    ),
     sizes as (select id, count(*) as n_item from items group by id)
     select d.id as doc_id, i.id as item_id, count(*) as n_hits, n_item
-    from docs d join items i on d.g = i.g join sizes s on s.id = i.id
+    from docs d join items i on d.g = i.g and d.k = i.k join sizes s on s.id = i.id
     group by d.id, i.id, n_item
     having 100 * count(*) >= 80 * n_item
 """

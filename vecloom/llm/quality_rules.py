@@ -26,44 +26,45 @@ MAX_DUP_LINE_PERCENT = 50
 HOST_RATE = 0.75
 MIN_HOST_DOCS = 20
 SALTS = 16
-_POSITION_BITS = 26
 
 
 def _repeated_words(frame: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words`` from ``w``: words inside a 3-word window that occurs again.
 
-    A window's 64-bit hash is cut to 38 bits and packed with its position, so one sort of longs
-    brings equal windows together; neighbours then count only if the whole hashes agree.
+    Windows are sorted by hash, then words, then place: equal ones become neighbours, and so they
+    do where hashes clash. Words are compared only where hashes are equal.
     """
-    mask = (1 << _POSITION_BITS) - 1
     window = F.transform(
-        F.sequence(F.lit(1), F.size("w") - 2),
-        lambda i: F.xxhash64(F.get("w", i - 1), F.get("w", i), F.get("w", i + 1)),
+        F.sequence(F.lit(0), F.size("w") - 3),
+        lambda i: F.struct(
+            F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"),
+            F.get("w", i).alias("a"),
+            F.get("w", i + 1).alias("b"),
+            F.get("w", i + 2).alias("c"),
+            i.alias("i"),
+        ),
     )
-    frame = frame.withColumn("g", F.when(F.size("w") >= 3, window).otherwise(F.array().cast("array<bigint>")))
-    packed = F.transform("g", lambda h, i: F.shiftleft(h, _POSITION_BITS).bitwiseOR(i.cast("bigint")))
-    frame = frame.withColumn("s", F.sort_array(packed))
-
-    def at(x: Column) -> Column:
-        return F.get("g", x.bitwiseAND(F.lit(mask)).cast("int"))
+    frame = frame.withColumn("s", F.when(F.size("w") >= 3, F.sort_array(window)))
 
     def same(x: Column, y: Column) -> Column:
-        close = F.shiftright(x.bitwiseXOR(y), _POSITION_BITS) == 0
-        return F.coalesce(close & (at(x) == at(y)), F.lit(False))
+        equal = x["h"] == y["h"]
+        for c in "abc":
+            equal &= x[c] == y[c]
+        return F.coalesce(equal, F.lit(False))
 
     again = F.filter(
         "s", lambda x, i: same(x, F.get("s", i - 1)) | same(x, F.get("s", i + 1))
     )
-    places = F.sort_array(F.transform(again, lambda x: x.bitwiseAND(F.lit(mask))))
+    places = F.sort_array(F.transform(again, lambda x: x["i"]))
     covered = F.aggregate(
         places,
-        F.struct(F.lit(-3).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("n")),
+        F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n")),
         lambda acc, x: F.struct(
             x.alias("last"), (acc["n"] + F.least(F.lit(3), x - acc["last"])).alias("n")
         ),
         lambda acc: acc["n"],
     )
-    return frame.withColumn("n_repeat_words", covered).drop("g", "s")
+    return frame.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("bigint"))).drop("s")
 
 
 def text_counts(frame: DataFrame, text: Column) -> DataFrame:

@@ -6,7 +6,9 @@ rule, and the longest rule that fits gives the verdict.
 
 Defined results: a NULL URL or one without ``://`` has an empty host and path, and no rule fits.
 Every input row gives one output row, repeated rows and NULL ids included. Input columns travel
-in the struct ``page``. An empty table, or no rules, gives the default verdict for each row.
+in the struct ``page``. An empty table, or no rules, gives the default verdict for each row. Rules
+without a host or a verdict (NULL) are left out, a NULL path is an empty one; rules that repeat a
+host and path give the verdict that comes last in the alphabet.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import lower_ascii, small
+from vecloom.llm.common import lower_ascii, saved, small
 
 PREFIX_DIGITS = 8
 SALTS = 16
@@ -74,7 +76,9 @@ def judge_urls(
         F.struct(*(F.col(f"`{c}`") for c in columns)).alias("page"),
         url_host(url).alias("host"),
         url_path(url).alias("path"),
-    ).withColumn("row", F.monotonically_increasing_id())
+        F.monotonically_increasing_id().alias("row"),
+    )
+    carried = saved(carried, "pages")  # read twice: the rows keep their numbers
     suffixes = F.transform(
         F.filter("label_counts", lambda k: k <= F.size("labels")),
         lambda k: F.array_join(F.slice("labels", F.size("labels") - k + 1, k), "."),
@@ -92,8 +96,11 @@ def judge_urls(
         .select("row", _digest(F.concat_ws("\n", "suffix", "prefix")).alias("digest"))
         .withColumn("digest_prefix", F.substring("digest", 1, PREFIX_DIGITS))
     )
-    meets = (F.col("digest_prefix") == F.col("rule_prefix")) & (
-        F.col("digest") == F.col("rule_digest")
+    # the join is on the short prefix alone: Spark takes no keys from inequalities
+    meets = (
+        (F.col("digest_prefix") == F.col("rule_prefix"))
+        & (F.col("digest") >= F.col("rule_digest"))
+        & (F.col("digest") <= F.col("rule_digest"))
     )
     if small(keyed):
         met = expressions.join(F.broadcast(keyed), meets)
