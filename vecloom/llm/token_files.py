@@ -97,10 +97,13 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list | None = None) ->
     return rows if doc_ids is None else rows.where(F.col("doc_id").isin(doc_ids))
 
 
-@F.pandas_udf(T.LongType())
-def ids_crc32(ids):
-    """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
-    return ids.map(lambda x: zlib.crc32(np.ascontiguousarray(x, "<u4").tobytes()))
+@F.arrow_udf(T.LongType())
+def ids_crc32(ids: pa.Array) -> pa.Array:
+    """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers; NULL for NULL."""
+    data = memoryview(np.ascontiguousarray(ids.flatten().to_numpy(), "<i4")).cast("B")
+    ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy()) * 4
+    sums = [zlib.crc32(data[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=False)]
+    return pa.array(sums, pa.int64(), mask=ids.is_null().to_numpy(zero_copy_only=False))
 
 
 def positions(rows: DataFrame) -> DataFrame:
