@@ -70,16 +70,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents lie in five shards, by checksum of the text, and go to eight.
-
-    The old shards are no files of their own, so those that keep their blocks are written too.
-    """
-    path = scratch(spark, "shards")
+    """The documents are stored in five shards, by checksum of the text, and go to eight."""
+    old, new = scratch(spark, "old-shards"), scratch(spark, "shards")
     docs = table(spark, sf_dir, "documents")
-    old = (F.crc32(F.coalesce("text", F.lit(""))) % 5).cast("int")
-    placed, plan = resharding.reshard(docs, old, old_shards=5, new_shards=8)
-    resharding.write_shards(placed, path)
-    return resharding.read_shards(spark, path).select(
+    check = F.crc32(F.coalesce("text", F.lit("")))
+    resharding.store(docs, (check % 5).cast("int"), old, "doc_id", "text")
+    moves = resharding.reshard(spark, old, 5, 8, new)
+    return resharding.resharded(spark, old, new, moves).select(
         "doc_id",
         resharding.text_size("text").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),

@@ -4,12 +4,16 @@ From the bytes in each old shard and the capacities of the new ones, a minimum-c
 bytes to send from each old shard to each new one such that the fewest move. Documents are grouped
 into blocks (old shard, size class, checksum of the text); whole blocks are transferred until
 the flow is met, the largest documents staying where they are, and single blocks then even out
-what is left. Where the old shards are stored, only those that blocks enter or leave need be
-written anew (:func:`write_affected`); else all are written (:func:`write_shards`).
+what is left. Shards are stored as files (:func:`write_shards`). :func:`reshard` writes those that
+blocks enter or leave anew, and the others are read where they are.
+
+Texts are never shuffled: a row's place in its shard follows from the counts of the file splits
+before its own and its place in its split, so each split is written by the task that reads it.
 
 The driver sees the blocks' totals, at most ``old shards * 64 * BUCKETS`` of them, whatever the
-size of the corpus. A block that holds much more than its part (a text with very many copies) is
-split by document, so copies stay together unless they would fill a shard.
+size of the corpus: some hundred shards are its bound (``MAX_SHARDS``). A block that holds much more
+than its part (a text with very many copies) is split by document, so copies stay together unless
+they would fill a shard.
 
 Defined results: a NULL text has no bytes and stays NULL. Rows without an id, or that repeat one,
 are rows like any others. An empty table gives empty shards. Other input columns, of whatever names,
@@ -18,16 +22,21 @@ are not written.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vecloom.llm.common import saved
+from vecloom.llm.common import saved, small
 
 BUCKETS, PARTS = 256, 64
 LARGE = 0.01  # of a new shard
+MAX_SHARDS = 256
 
 
 def min_cost_flow(
@@ -78,9 +87,9 @@ def min_cost_flow(
 
 @dataclass(frozen=True)
 class Transfers:
-    """``rows``: old, level, bucket, part (-1: whole block), shard, first slot."""
+    """``rows``: old, level, bucket, part (-1: whole block), shard."""
 
-    rows: list[tuple[int, int, int, int, int, int]]
+    rows: list[tuple[int, int, int, int, int]]
     affected: list[int]
     moved_bytes: int
 
@@ -110,15 +119,9 @@ def transfers(blocks: list[tuple], capacity: list[int], cost: list[list[int]]) -
         shard[best] = b
         excess[a] -= sizes[best]
         excess[b] += sizes[best]
-    first = np.zeros(len(table), np.int64)
-    for j in range(m):
-        own = np.flatnonzero(shard == j)
-        first[own] = np.cumsum(table[own, 5]) - table[own, 5]
     moved = shard != table[:, 0]
     affected = set(shard[moved].tolist()) | {int(x) for x in table[moved, 0] if x < m}
-    rows = [
-        (*map(int, table[k, :4]), int(shard[k]), int(first[k])) for k in range(len(table))
-    ]
+    rows = [(*map(int, table[k, :4]), int(shard[k])) for k in range(len(table))]
     return Transfers(rows, sorted(affected), int(sizes[moved].sum()))
 
 
@@ -126,72 +129,146 @@ def text_size(text: Column | str) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint")
 
 
-def reshard(
-    docs: DataFrame,
-    old_shard: Column,
-    old_shards: int,
-    new_shards: int,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> tuple[DataFrame, Transfers]:
-    """``doc_id, text, old, shard, slot`` and the transfers. New shards hold nearly equal bytes;
-    a byte that stays in a shard of its number costs nothing, any other the same."""
+SPLIT = ("file", "start")
+
+
+def _splits(files: DataFrame) -> DataFrame:
+    """Adds the file split a row is read from; its rows are read in order, by one task."""
+    return files.withColumns(
+        {
+            "file": F.xxhash64("_metadata.file_path"),
+            "start": F.col("_metadata.file_block_start"),
+        }
+    )
+
+
+def write_shards(rows: DataFrame, path: str) -> None:
+    """Writes ``doc_id, text, shard`` (rows of files, with their split) as a folder for each shard,
+    with ``slot``, gapless from 0 in each."""
+    slim = saved(rows.groupBy(*SPLIT, "shard").agg(F.count("*").alias("n")), "split-counts")
+    before = Window.partitionBy("shard").orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+    firsts = saved(slim.select(*SPLIT, "shard", first), "split-firsts")
+    if small(firsts):
+        placed = rows.join(F.broadcast(firsts), [*SPLIT, "shard"])
+    else:  # a shuffle of its own is never split, so a key's rows stay in one task
+        placed = rows.repartition(*SPLIT, "shard").join(firsts, [*SPLIT, "shard"])
+    columns = ["doc_id", "text", "slot", "shard"]
+    schema = T.StructType(
+        [
+            rows.schema["doc_id"],
+            rows.schema["text"],
+            T.StructField("slot", T.LongType()),
+            T.StructField("shard", T.IntegerType()),
+        ]
+    )
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used: dict[tuple[int, int, int], int] = {}
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+            slot = batch.column(3).to_numpy().copy()
+            for key in np.unique(keys, axis=0):
+                own = np.flatnonzero((keys == key).all(axis=1))
+                n = used.get(tuple(key), 0)
+                slot[own] += n + np.arange(len(own))
+                used[tuple(key)] = n + len(own)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(4), batch.column(5), pa.array(slot), pa.array(keys[:, 2], pa.int32())],
+                names=columns,
+            )
+
+    ordered = placed.select(*SPLIT, "shard", "first", "doc_id", "text")
+    ordered.mapInArrow(number, schema).write.partitionBy("shard").parquet(path)
+
+
+def store(docs: DataFrame, shard: Column, path: str, id_col: str, text_col: str) -> None:
+    """Writes a table as shards; one that isn't read from files is written once before."""
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), shard.alias("shard")
+    )
+    try:
+        write_shards(_splits(rows), path)
+    except AnalysisException:  # no files
+        write_shards(_splits(saved(rows, "rows")), path)
+
+
+def read_shards(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    return spark.read.schema(f"doc_id {id_type}, text string, slot bigint, shard int").parquet(path)
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Adds ``size`` and the block: ``old, level, bucket`` and, in case it is split, ``own``."""
     body = F.coalesce("text", F.lit(""))
-    keyed = (
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), old_shard.alias("old")
-        )
+    return (
+        rows.withColumnRenamed("shard", "old")
         .withColumn("size", text_size("text"))
         .withColumn("level", F.floor(F.log2("size")).cast("int"))
         .withColumn("bucket", F.pmod(F.xxhash64(body), F.lit(BUCKETS)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("doc_id", body, F.lit(1)), F.lit(PARTS)).cast("int"))
     )
-    slim = saved(keyed.select("old", "level", "bucket", "own", "size"), "sizes")
+
+
+def plan(stored: DataFrame, old_shards: int, new_shards: int) -> Transfers:
+    """The transfers from stored shards to ``new_shards`` of nearly equal bytes; a byte that stays
+    in a shard of its number costs nothing, any other the same."""
+    if max(old_shards, new_shards) > MAX_SHARDS:
+        raise ValueError(f"more than {MAX_SHARDS} shards: reshard groups of them")
+    slim = saved(_blocks(stored).select("old", "level", "bucket", "own", "size"), "sizes")
     block = ["old", "level", "bucket"]
-    whole = (
-        slim.groupBy(*block).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
-    )  # a row per block
+    totals = (F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    whole = slim.groupBy(*block).agg(*totals).collect()  # a row per block
     total = sum(r["bytes"] for r in whole)
     large = {tuple(r[:3]) for r in whole if r["bytes"] > LARGE * total / new_shards}
     blocks = [(*r[:3], -1, r["bytes"], r["rows"]) for r in whole if tuple(r[:3]) not in large]
-    spark = docs.sparkSession
     if large:
-        chosen = spark.createDataFrame(sorted(large), "old int, level int, bucket int")
-        parts = slim.join(F.broadcast(chosen), block).groupBy(*block, "own")
-        blocks += [
-            tuple(r)
-            for r in parts.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
-        ]
+        chosen = stored.sparkSession.createDataFrame(
+            sorted(large), "old int, level int, bucket int"
+        )
+        parts = slim.join(F.broadcast(chosen), block).groupBy(*block, "own").agg(*totals)
+        blocks += [tuple(r) for r in parts.collect()]
     capacity = [
         total * (j + 1) // new_shards - total * j // new_shards for j in range(new_shards)
     ]
     cost = [[int(i != j) for j in range(new_shards)] for i in range(old_shards)]
-    plan = transfers(blocks, capacity, cost)
-    table = spark.createDataFrame(
-        plan.rows, "old int, level int, bucket int, part int, shard int, first bigint"
-    )
-    within = Window.partitionBy(*block, "part").orderBy("doc_id", F.crc32(body))
-    placed = (
-        keyed.join(F.broadcast(table), block)
-        .where((F.col("part") == -1) | (F.col("part") == F.col("own")))
-        .withColumn("slot", F.col("first") + F.row_number().over(within) - 1)
-    )
-    return placed.select("doc_id", "text", "old", "shard", "slot"), plan
+    return transfers(blocks, capacity, cost)
 
 
-def write_shards(placed: DataFrame, path: str) -> None:
-    """Writes every shard, a folder each: for rows whose old shards are not stored as files."""
-    placed.select("doc_id", "text", "slot", "shard").write.partitionBy("shard").parquet(path)
-
-
-def write_affected(placed: DataFrame, plan: Transfers, path: str) -> None:
-    """Writes the shards that blocks enter or leave, a folder each; the others stay as they are.
+def reshard(
+    spark: SparkSession,
+    path: str,
+    old_shards: int,
+    new_shards: int,
+    out: str,
+    id_type: str = "bigint",
+) -> Transfers:
+    """Moves blocks between the shards stored in ``path``; affected shards are written to ``out``.
 
-    The path has no other shards: only for old shards that are stored elsewhere, to be read there.
+    :func:`resharded` then reads those and the others where they are.
     """
-    chosen = placed.where(F.col("shard").isin(plan.affected)) if plan.affected else placed
-    chosen.select("doc_id", "text", "slot", "shard").write.partitionBy("shard").parquet(path)
+    stored = read_shards(spark, path, id_type)
+    moves = plan(stored, old_shards, new_shards)
+    if not moves.affected:
+        return moves
+    table = F.broadcast(  # a row per block, which the driver holds
+        spark.createDataFrame(moves.rows, "old int, level int, bucket int, part int, to int")
+    )
+    block = ["old", "level", "bucket"]
+    moved = _blocks(_splits(stored)).join(table, block)
+    moved = moved.where((F.col("part") == -1) | (F.col("part") == F.col("own")))
+    moved = moved.where(F.col("to").isin(moves.affected))
+    write_shards(
+        moved.select("doc_id", "text", F.col("to").alias("shard"), *SPLIT), out
+    )
+    return moves
 
 
-def read_shards(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
-    return spark.read.schema(f"doc_id {id_type}, text string, slot bigint, shard int").parquet(path)
+def resharded(
+    spark: SparkSession, path: str, out: str, moves: Transfers, id_type: str = "bigint"
+) -> DataFrame:
+    """``doc_id, text, slot, shard`` of all shards: the affected from ``out``, others from ``path``."""
+    old = read_shards(spark, path, id_type)
+    if not moves.affected:
+        return old
+    untouched = old.where(~F.col("shard").isin(moves.affected))
+    return read_shards(spark, out, id_type).unionByName(untouched)
