@@ -1,0 +1,108 @@
+"""The corpus queries against their SQL, on the given tables and on tables with hot groups."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registered
+import corpus_pipeline
+from vecloom.llm.oracles import ORACLES
+from vecloom.llm.queries import QUERIES
+
+#: Rows that are a third of a table: copies of a text, of a line, of a passage, of a URL.
+HOT = {
+    "documents": """select (100000 + i)::bigint,
+        case i % 4 when 0 then t.text when 1 then 'one line' || chr(10) || t.text
+                   when 2 then null else 'Hot, hot. hot phrase of words ' || i end,
+        case i % 3 when 0 then 'en' when 1 then null else 'xx' end,
+        case i % 2 when 0 then 'hôt source' end, 1::bigint
+        from (select text from t where doc_id = 7), range(300) r(i)""",
+    "pages": """select (100000 + i)::bigint, case i % 4 when 0 then 'http://A.example.net/en/x'
+        when 1 then null when 2 then '' else 'x://example.com/de/' end, '' from range(200) r(i)""",
+    "conversations": """select 100000::bigint, i::int, case i % 3 when 0 then 'user' when 1 then
+        'assistant' end, case i % 5 when 0 then null else '<s>\\ [INST] ' || i end
+        from range(300) r(i)""",
+    "benchmark": "select 100000 + i, case i when 0 then 'hot phrase of' when 1 then '' end from range(3) r(i)",
+}
+
+
+@pytest.fixture(scope="module")
+def hot_dir(sf_dir, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("hot")
+    connection = duckdb.connect()
+    for name, rows in HOT.items():
+        connection.execute(f"create or replace view t as select * from '{sf_dir}/{name}.parquet'")
+        connection.execute(
+            f"copy (select * from t union all {rows}) to '{folder}/{name}.parquet' (format parquet)"
+        )
+    return str(folder)
+
+
+def assert_equal(spark, folder, name):
+    connection = duckdb.connect()
+    for file in sorted(Path(folder).glob("*.parquet")):
+        connection.execute(f"create view {file.stem} as select * from '{file}'")
+    result = QUERIES[name](spark, folder)
+    columns = sorted(result.columns)
+    got = sorted(map(tuple, result.select(*columns).collect()), key=repr)
+    relation = connection.sql(ORACLES[name])
+    assert sorted(relation.columns) == columns
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    want = sorted(relation.query("t", f"select {quoted} from t").fetchall(), key=repr)
+    assert got == want and got
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    assert_equal(spark, sf_dir, name)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql_on_hot_tables(spark, hot_dir, name):
+    assert_equal(spark, hot_dir, name)
+
+
+def test_all_are_registered():
+    assert {*QUERIES, "pipeline"} <= set(registered.queries())
+    assert set(ORACLES) <= set(registered.oracle_sql())
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "line_dedup", "near_dedup", "decontamination", "packing"
+    ]
+
+
+def test_the_pipeline_keeps_what_is_clean(spark, sf_dir, tmp_path):
+    """Planted rows: clean ones stay, copies, near copies, leaks and rejects go; ids repeat."""
+    item = duckdb.sql(f"select text from '{sf_dir}/benchmark.parquet' order by item_id").fetchone()[0]
+    prose = [" ".join(f"{c}{i}w" for i in range(80)) for c in "abcdefgh"]
+    near = prose[1].replace("b40w", "other")
+    rows = [
+        (1, prose[0]), (2, prose[1]), (3, prose[1]), (4, near), (5, f"{prose[2]}\n{item}"),
+        (6, "too short"), (None, prose[3]), (None, prose[4]), (7, prose[5]), (7, prose[6]),
+        (7, prose[6]), (8, None), (9, f"{prose[0]}\n{prose[7]}"),
+    ]
+    frame = spark.createDataFrame(
+        [(i, t, "en", f"s{k}", 0) for k, (i, t) in enumerate(rows)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    docs = frame
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == frame.columns
+    kept = sorted(r.text for r in docs.collect())
+    assert kept == sorted([prose[0], prose[1], *prose[3:7], prose[7]])
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert sum(1 for r in packed if r.piece == 0) == len(kept)
+
+
+def test_the_pipeline_on_nothing(spark, sf_dir, tmp_path):
+    """An empty table, and one of which all rows are rejected."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, docs in enumerate((documents.where("false"), documents.selectExpr(
+            "doc_id", "'no' as text", "lang", "source", "n_chars").limit(30))):
+        folder = f"{tmp_path}/{k}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{sf_dir}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+        assert corpus_pipeline.run(spark, folder).count() == 0
