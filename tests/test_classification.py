@@ -105,3 +105,41 @@ def test_training_summary_equals_our_scores(parts):
         summary.weightedRecall,
     )
     assert tuple(total) == pytest.approx(want, abs=1e-15)
+
+
+@pytest.mark.parametrize("kind", ["tree", "forest"])
+def test_nodes_as_rows_equal_the_text(spark, parts, kind):
+    """Walking the rows gives the model's own predictions; the splits are those of the text."""
+    train, valid = parts
+    model = classification.train(kind, train, **({"numTrees": 3} if kind == "forest" else {}))
+    nodes = classification.tree_nodes(spark, model).collect()
+    trees = getattr(model, "trees", [model])
+    assert len(nodes) == sum(t.numNodes for t in trees)
+    text = classification.tree_text(model)
+    splits = [r for r in nodes if r.feature is not None]
+    assert text.count("If (") == len(splits)
+    assert all(f"If (feature {r.feature} <= {r.threshold})" in text for r in splits)
+    rows = [(r.vectors_pca.toArray(), r.trees) for r in _by_tree(trees, valid)]
+    children = {(r.tree, r.parent, r.side): r for r in nodes}
+    for vector, want in rows:
+        for tree, prediction in enumerate(want):
+            node = children[tree, None, None]
+            while node.feature is not None:
+                side = "left" if vector[node.feature] <= node.threshold else "right"
+                node = children[tree, node.node, side]
+            assert node.prediction == prediction
+
+
+def _by_tree(trees, frame):
+    columns = []
+    for i, tree in enumerate(trees):
+        tree.setFeaturesCol("vectors_pca").setPredictionCol(f"t{i}")
+        tree.setRawPredictionCol("").setProbabilityCol("")
+        frame, columns = tree.transform(frame), [*columns, f"t{i}"]
+    return frame.selectExpr("vectors_pca", f"array({', '.join(columns)}) as trees").collect()
+
+
+def test_a_tree_of_one_node(spark, parts):
+    train = parts[0].selectExpr("0.0 as Classe_index", "vectors_pca")
+    row = classification.tree_nodes(spark, classification.train("tree", train)).first()
+    assert (row.node, row.parent, row.feature, row.n) == (0, None, None, 397)

@@ -12,9 +12,10 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vecloom.session import small_frame
+from vecloom.session import scratch_path, small_frame
 
 # The settings of the fits; everything else is Spark's default.
 SEED = 21
@@ -91,5 +92,47 @@ def tree_text(model: Model) -> str:
     return model.toDebugString
 
 
+def tree_nodes(spark: SparkSession, model: Model) -> DataFrame:
+    """The nodes of a tree or forest as rows, read from the saved model's own table.
+
+    ``tree, node, parent, side, feature, threshold, gain, impurity, n, prediction``: node 0 is the
+    root, which has no parent; values up to the threshold go to the child on the left. Leaves have
+    no feature, threshold and gain. ``impurity`` is that of the node's rows by the Gini index.
+    Nothing passes through the driver, and splits on categories have no threshold.
+    """
+    path = scratch_path(spark, "model")
+    model.save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    if "nodeData" in saved.columns:
+        saved = saved.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        saved = saved.withColumn("tree", F.lit(0))
+    inner, rows = F.col("leftChild") >= 0, F.col("impurityStats")
+    n = F.aggregate(rows, F.lit(0.0), lambda total, x: total + x)
+    squares = F.aggregate(rows, F.lit(0.0), lambda total, x: total + x * x)
+    continuous = inner & (F.col("split.numCategories") < 0)
+    threshold = F.get("split.leftCategoriesOrThreshold", F.lit(0))
+    nodes = saved.select(
+        "tree",
+        F.col("id").alias("node"),
+        F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(continuous, threshold).alias("threshold"),
+        F.when(inner, F.col("gain")).alias("gain"),
+        (F.lit(1.0) - squares / (n * n)).alias("impurity"),
+        n.cast("bigint").alias("n"),
+        "prediction",
+    )
+
+    def child(name: str, side: str) -> Column:
+        return F.struct(F.col(name).alias("node"), F.lit(side).alias("side"))
+
+    children = F.array(child("leftChild", "left"), child("rightChild", "right"))
+    edges = saved.where(inner).select("tree", F.col("id").alias("parent"), F.inline(children))
+    return nodes.join(edges, ["tree", "node"], "left").select(
+        "tree", "node", "parent", "side", "feature", "threshold", "gain", "impurity", "n",
+        "prediction",
+    )
+
+
 def _positions(values: Sized) -> np.ndarray:
     return np.arange(len(values), dtype=np.int32)
