@@ -95,3 +95,55 @@ def test_random_split_wants_a_seed(spark):
 def test_hash_split_keeps_rows_without_a_key(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "path string")
     assert sum(part.count() for part in labels.hash_split(df, "path")) == 3
+
+
+def test_ranks_of_many_labels_equal_sql(spark):
+    """No list of labels on the driver; ties go by name, a hot label and NULL are among them."""
+    import duckdb
+
+    rows = spark.range(400_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 1000 = 1 then null"
+        " else concat('l', cast(pow(id, 1.1) as bigint) % 200000) end as Classe",
+        "id",
+    )
+    ranks = labels.rank_labels(rows)
+    got = ranks.toPandas()
+    table = rows.toPandas()
+    want = duckdb.sql(
+        "select Classe as label, count(*) as n, row_number() over (order by count(*) desc, Classe)"
+        " - 1 as index from \"table\" where Classe is not null group by Classe"
+    ).df()
+    both = got.merge(want, on="label")
+    assert len(both) == len(got) == len(want) > 100_000
+    assert (both.index_x == both.index_y).all() and (both.n_x == both.n_y).all()
+    indexed = labels.index_rows(rows, ranks).toPandas().set_index("id")
+    assert len(indexed) == len(table)
+    of = dict(zip(got.label, got["index"], strict=True))
+    expected = table.set_index("id").Classe.map(of)
+    assert indexed.Classe_index.sort_index().equals(expected.rename("Classe_index").sort_index())
+
+
+def test_ranks_equal_the_index_on_the_driver(spark):
+    frame = spark.createDataFrame([(x,) for x in "bbaacccd"] + [(None,)], "Classe string")
+    ranked = {r.label: r["index"] for r in labels.rank_labels(frame).collect()}
+    assert ranked == {x: float(i) for i, x in enumerate(labels.fit_label_index(frame).labels)}
+    assert labels.rank_labels(frame.where("false")).count() == 0
+    unknown = labels.index_rows(frame, labels.rank_labels(frame.where("Classe = 'a'")))
+    assert sorted((r[0] or "", r[1]) for r in unknown.distinct().collect() if r[0] == "a") == [("a", 0.0)]
+    assert unknown.where("Classe_index is null").count() == 7
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.8, 1.0])
+def test_exact_split(spark, share):
+    """Each class is split to the row, the same in every layout; one class is hot, one is NULL."""
+    rows = [(i, "hot" if i % 2 else f"c{i % 7}" if i % 5 else None) for i in range(5000)]
+    frame = spark.createDataFrame(rows, "id int, Classe string")
+    results = []
+    for layout in (1, 7):
+        split = labels.exact_split(frame.repartition(layout), "id", share=share)
+        assert split.columns == ["id", "Classe", "part"]
+        results.append({r.id: (r.Classe, r.part) for r in split.collect()})
+    assert results[0] == results[1] and len(results[0]) == 5000
+    for name in {c for _, c in rows}:
+        parts = [p for c, p in results[0].values() if c == name]
+        assert parts.count(0) == int(share * len(parts) + 0.5)
