@@ -160,3 +160,82 @@ def test_moments_refuse_values_that_are_not_finite(spark, odd):
     df = spark.createDataFrame(rows, "features array<double>")
     with pytest.raises(Exception, match="finite"):
         reduction.column_moments(df)
+
+
+def test_moments_take_one_scan_and_merge_exactly(spark):
+    """Values far from zero, a constant column, tasks of one row, and every row seen once."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((301, 70)) * np.arange(1, 71) + 1e8
+    x[:, 5] = 1 / 3
+    frame = spark.createDataFrame([(r.tolist(),) for r in x], "features array<double>")
+    for tasks in (1, 3, 301):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        counted = frame.repartition(tasks).mapInArrow(count, frame.schema)
+        moments = reduction.column_moments(counted)
+        assert seen.value == len(x)
+        assert moments.n == 301 and moments.covariance[5].tolist() == [0.0] * 70
+        assert moments.mean[5] == 1 / 3
+        np.testing.assert_allclose(moments.mean, x.mean(axis=0), rtol=1e-14)
+        np.testing.assert_allclose(moments.covariance, np.cov(x.T), atol=1e-5, rtol=1e-6)
+
+
+def test_mixed_lengths_in_different_tasks_are_an_error(spark):
+    frame = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0, 3.0],)], "features array<double>")
+    with pytest.raises(Exception, match="mixed length"):
+        reduction.column_moments(frame.repartition(2))
+
+
+def test_one_trip_to_python_for_the_saved_table(spark):
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame(
+        [(i, r.tolist()) for i, r in enumerate(rng.standard_normal((50, 6)))],
+        "path int, features array<double>",
+    )
+    model = reduction.fit_components(frame)
+    saved = model.transform(frame, 4)
+    plan = saved._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    rows = saved.collect()
+    for r in rows:
+        z = (np.array(r.features) - model.mean) / model.scale
+        np.testing.assert_allclose(r.features_scaled.toArray(), z)
+        np.testing.assert_allclose(r.vectors_pca.toArray(), z @ model.axes[:, :4], atol=1e-12)
+
+
+def test_leading_components_equal_the_exact_fit(spark):
+    rng = np.random.default_rng(5)
+    n, d, k = 400, 120, 10
+    x = rng.standard_normal((n, 30)) * 0.9 ** np.arange(30) @ rng.standard_normal((30, d))
+    x = x + 1e-3 * rng.standard_normal((n, d)) + 1e4
+    x[:, 7] = 3.0
+    frame = spark.createDataFrame([(r.tolist(),) for r in x], "features array<double>")
+    exact = reduction.fit_components(frame)
+    for tasks in (1, 5):
+        found = reduction.fit_leading(frame.repartition(tasks), k, extra=25)
+        np.testing.assert_allclose(found.explained_variance, exact.explained_variance[:k], atol=1e-6)
+        np.testing.assert_allclose(found.scale, exact.scale, rtol=1e-9, atol=1e-9)
+        np.testing.assert_allclose(np.abs((found.axes * exact.axes[:, :k]).sum(axis=0)), 1, atol=1e-4)
+        assert (found.axes[np.abs(found.axes).argmax(axis=0), np.arange(k)] > 0).all()
+    reduced = found.transform(frame, k).select("vectors_pca").collect()
+    want = (x - exact.mean) * reduction._inverse(exact.scale) @ found.axes
+    np.testing.assert_allclose([r[0].toArray() for r in reduced], want, atol=1e-6)
+
+
+def test_leading_components_of_many_features(spark):
+    """More features than a matrix of all products may have."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((3, 9000))
+    x = rng.standard_normal((24, 3)) * [9, 5, 2] @ base
+    frame = spark.createDataFrame([(r.tolist(),) for r in x], "features array<double>")
+    with pytest.raises(Exception, match="columns"):
+        reduction.column_moments(frame)
+    model = reduction.fit_leading(frame.repartition(4), 3, extra=5)
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    values = np.linalg.svd(z, compute_uv=False) ** 2
+    np.testing.assert_allclose(model.explained_variance, values[:3] / values.sum(), atol=1e-6)
