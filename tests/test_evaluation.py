@@ -197,3 +197,18 @@ def test_the_frame_is_read_once(spark, sf_dir, measure):
     plan = scores._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
     assert "Window" not in plan or measure is evaluation.confusion
+
+
+def test_named_report(spark):
+    """A class with a summary's name, one without a name, and groups; equal to the plain report."""
+    rows = [(0.0, 0.0, "x"), (0.0, 1.0, "x"), (1.0, 1.0, None), (2.0, 0.0, "x"), (None, 1.0, "x")]
+    frame = spark.createDataFrame(rows, "Classe_index double, prediction double, g string")
+    names = spark.createDataFrame([("accuracy", 0.0), ("b", 1.0), ("never", 9.0)], "label string, index double")
+    named = evaluation.named_report(frame, names).collect()
+    plain = evaluation.classification_report(frame).collect()
+    known = {"0.0": "accuracy", "1.0": "b"}
+    want = [("class" if r.name[0].isdigit() else "summary", known.get(r.name, r.name), *r[1:]) for r in plain]
+    assert sorted(map(tuple, named)) == sorted(want)
+    assert sorted(r.line for r in named if r.name == "accuracy") == ["class", "summary"]
+    grouped = evaluation.named_report(frame, names, by=("g",)).collect()
+    assert {r.g for r in grouped} == {"x", None}

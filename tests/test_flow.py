@@ -88,8 +88,10 @@ def test_scores_equal_a_count_by_hand(tables):
         assert scores[kind].accuracy == pytest.approx(hits / len(rows))
         lines = {r.name: r for r in report if r.kind == kind}
         assert lines["accuracy"].f1 == pytest.approx(hits / len(rows))
-        seen = {r.Classe_index for r in rows} | {r.prediction for r in rows}
-        assert set(lines) == {str(c) for c in seen} | {"accuracy", "macro avg", "weighted avg"}
+        names = {r["index"]: r.label for r in trained.names.collect()}
+        seen = {names[x] for r in rows for x in (r.Classe_index, r.prediction)}
+        assert set(lines) == seen | {"accuracy", "macro avg", "weighted avg"}
+        assert {r.name for r in report if r.kind == kind and r.line == "class"} == seen
 
 
 def test_scores_of_the_training_part(tables):

@@ -167,8 +167,13 @@ def classification_report(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """``name, precision, recall, f1, support`` by class, then accuracy and two averages."""
-    scores = ("precision", "recall", "f1")
     classes = _class_scores(pair_counts(df, label_col, prediction_col, by), by)
+    return _report_lines(classes, F.col("label").cast("string"), by).drop("line")
+
+
+def _report_lines(classes: DataFrame, name: Column, by: Sequence[str]) -> DataFrame:
+    """``line, name, precision, recall, f1, support`` of scored classes and their summaries."""
+    scores = ("precision", "recall", "f1")
     total = F.sum("support")
 
     def line(name: str, values: Callable[[str], Column]) -> Column:
@@ -184,10 +189,34 @@ def classification_report(
             line("weighted avg", lambda s: _ratio(F.sum(F.col(s) * F.col("support")), total)),
         ).alias("lines"),
     )
-    own = classes.select(*by, F.col("label").cast("string").alias("name"), *scores, "support")
-    rest = averages.where(F.col("total").isNotNull()).select(*by, F.inline("lines"))
+    own = classes.select(
+        *by, F.lit("class").alias("line"), name.alias("name"), *scores, "support"
+    )
+    rest = averages.where(F.col("total").isNotNull()).select(
+        *by, F.lit("summary").alias("line"), F.inline("lines")
+    )
     return own.unionByName(rest)
 
 
+def named_report(
+    df: DataFrame,
+    names: DataFrame,
+    label_col: str = LABEL,
+    prediction_col: str = PREDICTION,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """``line, name, precision, recall, f1, support``: the report with the classes' names.
+
+    ``names`` is a table ``label, index`` of the names, as :func:`labels.label_table` gives it; a
+    class it lacks keeps its number. ``line`` is ``class`` or ``summary``, so that a class may have
+    a summary's name.
+    """
+    counts = pair_counts(df, label_col, prediction_col, by)
+    kind = counts.schema["label"].dataType
+    known = names.select(F.col("index").cast(kind).alias("label"), F.col("label").alias("known"))
+    classes = _class_scores(counts, by).join(known, "label", "left")
+    return _report_lines(classes, F.coalesce("known", F.col("label").cast("string")), by)
+
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom == 0, F.lit(0.0)).otherwise(top / bottom)

@@ -85,11 +85,12 @@ def reduce_features(
 
 @dataclass(frozen=True)
 class Trained:
-    """Fitted classifiers by kind, and the two parts of the table."""
+    """Fitted classifiers by kind, the two parts of the table, and the classes' names."""
 
     models: dict[str, Model]
     train: DataFrame
     valid: DataFrame
+    names: DataFrame
 
 
 def train_classifiers(
@@ -110,7 +111,8 @@ def train_classifiers(
     laid_out = train
     if layout_partitions:
         laid_out = classification.stable_layout(train, "path", layout_partitions)
-    return Trained({kind: classification.train(kind, laid_out) for kind in kinds}, train, valid)
+    models = {kind: classification.train(kind, laid_out) for kind in kinds}
+    return Trained(models, train, valid, labels.label_table(table, index))
 
 
 def predictions(models: dict[str, Model], df: DataFrame) -> DataFrame:
@@ -137,5 +139,5 @@ def compare(trained: Trained, part: str = "valid") -> DataFrame:
 
 
 def reports(trained: Trained, part: str = "valid") -> DataFrame:
-    """The classification report of each kind on the validation or the training part."""
-    return evaluation.classification_report(_scored(trained, part), by=("kind",))
+    """The report of each kind, with the classes' names, on the validation or the training part."""
+    return evaluation.named_report(_scored(trained, part), trained.names, by=("kind",))
