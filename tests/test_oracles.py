@@ -9,8 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
-
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+from vecloom.plans.oracles import ORACLES
+from vecloom.plans.queries import QUERIES
 
 
 def normal(rows):
@@ -70,7 +70,8 @@ def hot_dir(sf_dir, tmp_path_factory):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -129,7 +129,181 @@ PER_LABEL = f"""
     )
 """
 
+# Orders with the indices of their priority and state: the most frequent first, then by name.
+STATES = """
+    select year(o_orderdate)::double as year, p.priority, p.j, s.k
+    from orders
+    join (select o_orderpriority as priority, count(*) as n,
+                 row_number() over (order by count(*) desc, o_orderpriority) - 1 as j
+          from orders group by o_orderpriority) p on p.priority = o_orderpriority
+    join (select o_orderstatus as status,
+                 row_number() over (order by count(*) desc, o_orderstatus) - 1 as k
+          from orders group by o_orderstatus) s on s.status = o_orderstatus
+"""
+
+CELLS = f"""
+    select priority, j, k, count(*)::double as n,
+           count(*)::double / sum(count(*)) over (partition by j) as p,
+           ln(count(*)) - avg(ln(count(*))) over (partition by j) as odds
+    from ({STATES}) group by priority, j, k
+"""
+
+# The tree over years with at most five levels: of all stretches of years the best cut, then the
+# stretches that the cuts from the whole on lead to. A node stays inner if the leaves below differ.
+YEAR_TREE = f"""
+    with recursive rows as materialized ({STATES}),
+    years as (select year, row_number() over (order by year) as i from (select distinct year from rows)),
+    counts as (select i, k, count(*)::double as n from rows join years using (year) group by i, k),
+    stretches as (
+        select a.i as lo, b.i as hi, k, coalesce(sum(n), 0) as n
+        from years a join years b on a.i <= b.i cross join (select distinct k from rows)
+        left join counts using (k)
+        where counts.i is null or counts.i between a.i and b.i
+        group by a.i, b.i, k
+    ),
+    nodes as (
+        select lo, hi, sum(n) as n, 1 - sum(n * n) / (sum(n) * sum(n)) as impurity from (
+            select lo, hi, k, n, sum(n) over (partition by lo, hi) as whole from stretches
+        ) group by lo, hi
+    ),
+    votes as (
+        select lo, hi, k as vote from stretches
+        qualify row_number() over (partition by lo, hi order by n desc, k) = 1
+    ),
+    cuts as (
+        select w.lo, w.hi, l.hi as cut,
+               w.impurity - l.n / w.n * l.impurity - r.n / w.n * r.impurity as gain
+        from nodes w join nodes l on l.lo = w.lo and l.hi < w.hi
+        join nodes r on r.lo = l.hi + 1 and r.hi = w.hi
+        qualify row_number() over (partition by w.lo, w.hi order by gain desc, cut) = 1
+    ),
+    grown as (
+        select 1::bigint as lo, (select max(i) from years) as hi, 0 as depth,
+               null::bigint as up_lo, null::bigint as up_hi, null::varchar as side
+        union all
+        select case when s = 'left' then c.lo else c.cut + 1 end,
+               case when s = 'left' then c.cut else c.hi end, depth + 1, c.lo, c.hi, s
+        from grown join cuts c using (lo, hi), (values ('left'), ('right')) sides(s)
+        where gain > 0 and depth < 5
+    ),
+    leaves as (
+        select g.lo, g.hi, vote from grown g join votes v on v.lo = g.lo and v.hi = g.hi
+        where not exists (select 1 from grown c where c.up_lo = g.lo and c.up_hi = g.hi)
+    ),
+    inner_nodes as (
+        select g.lo, g.hi from grown g join leaves l on l.lo >= g.lo and l.hi <= g.hi
+        group by g.lo, g.hi having count(distinct vote) > 1
+    ),
+    kept as (
+        select g.*, row_number() over (order by g.lo, g.hi desc) - 1 as node,
+               exists (select 1 from inner_nodes i where i.lo = g.lo and i.hi = g.hi) as is_inner
+        from grown g
+        where up_lo is null or exists (
+            select 1 from inner_nodes i where i.lo = g.up_lo and i.hi = g.up_hi)
+    )
+"""
+
+YEAR_NODES = """
+    select t.tree::int as tree, q.node::int as node, u.node::int as parent, q.side,
+           case when q.is_inner then 0 end as feature,
+           case when q.is_inner then (a.year + b.year) / 2 end as threshold,
+           case when q.is_inner then round(c.gain, 9) + 0.0 end as gain,
+           round(n.impurity, 9) + 0.0 as impurity, n.n::bigint as n, v.vote::double as prediction
+    from kept q join nodes n using (lo, hi) join votes v using (lo, hi)
+    left join kept u on u.lo = q.up_lo and u.hi = q.up_hi
+    left join cuts c on c.lo = q.lo and c.hi = q.hi
+    left join years a on a.i = c.cut left join years b on b.i = c.cut + 1
+    cross join (select unnest(range({trees})) as tree) t
+"""
+
+YEAR_VOTES = f"""
+    {YEAR_TREE}
+    select year, vote::double as prediction, count(*) as n
+    from rows join years using (year)
+    join kept q on not q.is_inner and i between q.lo and q.hi
+    join (
+        select q.lo, q.hi, min(l.vote) as vote from kept q join leaves l
+          on l.lo >= q.lo and l.hi <= q.hi
+        where not q.is_inner group by q.lo, q.hi
+    ) v on v.lo = q.lo and v.hi = q.hi
+    group by year, vote
+"""
+
 ORACLES: dict[str, str] = {
+    "class_scan": """
+        select 'Classe=' || label as "Classe", count(*) as files,
+               (count(*) * (54 + 3 * 64 + 1))::bigint as total_bytes
+        from embeddings where label < 5 group by label
+    """,
+    "featurize_partitions": """
+        select vec_id, round(list_max(embedding)::double, 6) + 0.0 as value from embeddings
+    """,
+    "leading_variance": f"""
+        select k::int as k, round(ratio, 6) + 0.0 as ratio, round(cumulative, 6) + 0.0 as cumulative
+        from ({CURVE}) where k <= 8
+    """,
+    "label_ranks": """
+        select l_partkey::varchar as label, count(*) as n, (row_number() over (
+            order by count(*) desc, l_partkey::varchar) - 1)::double as index
+        from lineitem where l_partkey is not null group by l_partkey
+    """,
+    "label_rank_rows": """
+        select o_orderkey, index from orders left join (
+            select o_custkey, (row_number() over (
+                order by count(*) desc, o_custkey::varchar) - 1)::double as index
+            from orders where o_custkey is not null group by o_custkey
+        ) using (o_custkey)
+    """,
+    "exact_split": """
+        select vec_id, 'class-' || label as "Classe", (row_number() over (
+                   partition by label order by substr(md5(vec_id::varchar), 1, 8), vec_id::varchar
+               ) > floor(0.8 * count(*) over (partition by label) + 0.5))::int as part
+        from embeddings
+    """,
+    "lr_cells": f"""
+        select priority, (row_number() over (partition by j order by k) - 1)::int as state,
+               round(p, 5) + 0.0 as probability,
+               first(k) over (partition by j order by p desc, k)::double as prediction
+        from ({CELLS})
+    """,
+    "lr_cell_coefficients": f"""
+        select a.k::int as class_index, a.j::int as feature,
+               round(a.odds - b.odds, 5) + 0.0 as coefficient
+        from ({CELLS}) a join ({CELLS}) b on a.k = b.k
+        where b.j = (select max(j) from ({CELLS})) and a.j < b.j
+    """,
+    "lr_cell_intercepts": f"""
+        select k::int as class_index, round(odds, 5) + 0.0 as intercept
+        from ({CELLS}) where j = (select max(j) from ({CELLS}))
+    """,
+    "lr_cell_loss": f"""
+        with c as ({CELLS}), s as (select k, sum(n) as n from c group by k)
+        select round((select -sum(n * ln(n / (select sum(n) from c))) / sum(n) from s), 7) + 0.0
+                   as first,
+               round((select -sum(n * ln(p)) / sum(n) from c), 7) + 0.0 as last
+    """,
+    "tree_cells": YEAR_VOTES,
+    "forest_cells": YEAR_VOTES,
+    "tree_nodes": YEAR_TREE + YEAR_NODES.format(trees=1),
+    "forest_nodes": YEAR_TREE + YEAR_NODES.format(trees=3),
+    "named_report": f"""
+        with p as materialized ({PER_LABEL})
+        select 'class' as line, case label when 0 then 'accuracy' when 1 then 'good'
+                                           else label::varchar end as name,
+               round(precision, 6) + 0.0 as precision, round(recall, 6) + 0.0 as recall,
+               round(f1, 6) + 0.0 as f1, support
+        from p
+        union all
+        select 'summary', unnest(['accuracy', 'macro avg', 'weighted avg']),
+               round(unnest([sum(tp)::double / sum(support), avg(precision),
+                             sum(precision * support) / sum(support)]), 6) + 0.0,
+               round(unnest([sum(tp)::double / sum(support), avg(recall),
+                             sum(recall * support) / sum(support)]), 6) + 0.0,
+               round(unnest([sum(tp)::double / sum(support), avg(f1),
+                             sum(f1 * support) / sum(support)]), 6) + 0.0,
+               sum(support)::bigint
+        from p
+    """,
     "binary_scan": """
         select 'Classe=' || label as "Classe", count(*) as files,
                (count(*) * (54 + 3 * 64 + 1))::bigint as total_bytes

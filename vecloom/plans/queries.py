@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.errors import AnalysisException
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,9 @@ def image_folder(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "images")
     table = read_features(spark, f"{sf_dir}/embeddings.parquet", ("label", "embedding"))
     bitmaps.write_bitmaps(table, "embedding", "label", path)
+    # a list beside the images of each class: the scans' filter by file name leaves it out
+    listed = table.groupBy(F.col("label").alias("Classe")).count()
+    listed.write.mode("append").partitionBy("Classe").csv(path)
     _image_folders[key] = path
     return path
 
@@ -84,6 +88,14 @@ def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def class_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the folders of the first classes, by a pattern in the path."""
+    files = read_files(spark, f"{image_folder(spark, sf_dir)}/Classe=[0-4]", glob="*.txt")
+    return files.groupBy(label_from_path("path").alias("Classe")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("total_bytes")
+    )
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
     table = vectors(spark, sf_dir).withColumn("features_vectors", dense_vector("features"))
@@ -200,6 +212,14 @@ def featurize_maxpool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.select("vec_id", rounded(F.col("pooled")[0].cast("double")).alias("value"))
 
 
+def featurize_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt out over 16 tasks before the model."""
+    pooled = featurize(
+        vectors(spark, sf_dir), "features", models.max_pool, output_col="pooled", partitions=16
+    )
+    return pooled.select("vec_id", rounded(F.col("pooled")[0].cast("double")).alias("value"))
+
+
 def featurize_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, cols = np.indices((64, 8))
     weights = ((7 * rows + 3 * cols) % 11 - 5) / 8.0
@@ -244,6 +264,14 @@ def variance_powers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def leading_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight shares by the range finder, without the matrix of all products."""
+    model = reduction.fit_leading(vectors(spark, sf_dir), 8, rounds=16)
+    return reduction.variance_curve(spark, model).select(
+        "k", rounded("ratio").alias("ratio"), rounded("cumulative").alias("cumulative")
+    )
+
+
 def choose_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = reduction.choose_k(reduction.fit_components(vectors(spark, sf_dir)))
     row = small_frame(spark, k=[choice.k], index=[choice.index], cumulative=[choice.cumulative])
@@ -255,7 +283,7 @@ def choose_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = vectors(spark, sf_dir)
-    reduced = reduction.fit_components(table).transform(table, REDUCED_K)
+    reduced = reduction.fit_components(table).transform(table, REDUCED_K, scaled_col=None)
     lines = reduced.select("vec_id", long_form(vector_to_array("vectors_pca"), "component", "v"))
     return lines.select("vec_id", "component", rounded("v", 4).alias("value"))
 
@@ -264,7 +292,7 @@ def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squared length over all components: projecting must keep that of the scaled vector."""
     table = vectors(spark, sf_dir)
     model = reduction.fit_components(table)
-    reduced = model.transform(table, len(model.mean))
+    reduced = model.transform(table, len(model.mean), scaled_col=None)
     square = F.aggregate(
         vector_to_array("vectors_pca"), F.lit(0.0), lambda total, v: total + v * v
     )
@@ -286,6 +314,23 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexed.select("vec_id", "Classe", "Classe_index")
 
 
+def label_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as labels, as many as there are: the index without a list on the driver."""
+    lines = read_features(spark, f"{sf_dir}/lineitem.parquet", ("l_partkey",))
+    return labels.rank_labels(lines, "l_partkey")
+
+
+def label_rank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_features(spark, f"{sf_dir}/orders.parquet", ("o_orderkey", "o_custkey"))
+    ranks = labels.rank_labels(orders, "o_custkey")
+    return labels.index_rows(orders, ranks, "o_custkey", "index").select("o_orderkey", "index")
+
+
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four fifths of each class, to the row."""
+    return labels.exact_split(vectors(spark, sf_dir), "vec_id").select("vec_id", "Classe", "part")
+
+
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(F.lit("train"), F.lit("valid"))
     return vectors(spark, sf_dir).select(
@@ -306,7 +351,7 @@ def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Both parts of the reduced table, which is written first, so no fit projects again."""
     path = scratch_path(spark, "reduced")
     table = vectors(spark, sf_dir)
-    reduced = reduction.fit_components(table).transform(table, REDUCED_K)
+    reduced = reduction.fit_components(table).transform(table, REDUCED_K, scaled_col=None)
     write_features(reduced, path, ("vec_id", "Classe", "vectors_pca"))
     saved = read_features(spark, path)
     index = labels.fit_label_index(saved)
@@ -337,9 +382,120 @@ def lr_training_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.per_label(classification.predict(model, train))
 
 
+# Classifiers of cells: with a column for each cell and no penalty, what they learn is known
+
+
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority and state, counted: ``priority, cell (one-hot), year, state, n``."""
+    orders = read_features(
+        spark, f"{sf_dir}/orders.parquet", ("o_orderdate", "o_orderpriority", "o_orderstatus")
+    )
+    counts = orders.groupBy(
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        F.year("o_orderdate").cast("double").alias("year"),
+    ).agg(F.count("*").cast("double").alias("n"))
+    for name, index in (("o_orderpriority", "priority"), ("o_orderstatus", "status")):
+        ranks = labels.rank_labels(orders, name).select(
+            F.col("label").alias(index), F.col("index").alias(f"{index}_index")
+        )
+        counts = counts.join(F.broadcast(ranks), index)  # three states, five priorities
+    return counts
+
+
+def _priority_fit(spark: SparkSession, sf_dir: str):
+    cells = _cells(spark, sf_dir).groupBy("priority", "priority_index", "status_index")
+    cells = cells.agg(F.sum("n").alias("n")).coalesce(1)
+    encoder = OneHotEncoder(inputCols=["priority_index"], outputCols=["cell"]).fit(cells)
+    cells = encoder.transform(cells)
+    model = classification.train(
+        "lr", cells, "status_index", "cell", weightCol="n", maxIter=500, tol=1e-15
+    )
+    return cells, model
+
+
+def lr_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probabilities are the cells' shares."""
+    cells, model = _priority_fit(spark, sf_dir)
+    one = classification.predict(model, cells.dropDuplicates(["priority"]))
+    lines = one.select(
+        "priority", "prediction", long_form(vector_to_array("probability"), "state", "p")
+    )
+    return lines.select("priority", "prediction", "state", rounded("p", 5).alias("probability"))
+
+
+def lr_cell_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log odds against the last cell."""
+    _, model = _priority_fit(spark, sf_dir)
+    table = classification.coefficients(spark, model)
+    return table.select("class_index", "feature", rounded("coefficient", 5).alias("coefficient"))
+
+
+def lr_cell_intercepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log odds in the last cell."""
+    _, model = _priority_fit(spark, sf_dir)
+    table = classification.intercepts(spark, model)
+    return table.select("class_index", rounded("intercept", 5).alias("intercept"))
+
+
+def lr_cell_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first loss is the states' entropy, the last that given the cell."""
+    _, model = _priority_fit(spark, sf_dir)
+    table = classification.loss_history(spark, model)
+    ends = table.agg(
+        F.min_by("objective", "iteration").alias("first"),
+        F.max_by("objective", "iteration").alias("last"),
+    )
+    return ends.select(rounded("first", 7).alias("first"), rounded("last", 7).alias("last"))
+
+
+def _year_fit(kind: str, **params) -> Callable:
+    def fit(spark: SparkSession, sf_dir: str):
+        cells = _cells(spark, sf_dir).groupBy("year", "status_index").agg(F.sum("n").alias("n"))
+        cells = cells.withColumn("years", dense_vector(F.array("year"))).coalesce(1)
+        return cells, classification.train(
+            kind, cells, "status_index", "years", weightCol="n", **params
+        )
+
+    return fit
+
+
+_forest_of_equals = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+
+
+def _year_predict(kind: str, **params) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Each year's state by the tree; orders of the year."""
+        cells, model = _year_fit(kind, **params)(spark, sf_dir)
+        predicted = classification.predict(model, cells)
+        return predicted.groupBy("year", "prediction").agg(F.sum("n").cast("bigint").alias("n"))
+
+    return query
+
+
+def _year_nodes(kind: str, **params) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, model = _year_fit(kind, **params)(spark, sf_dir)
+        return classification.tree_nodes(spark, model).select(
+            "tree", "node", "parent", "side", "feature", "threshold",
+            rounded("gain", 9).alias("gain"), rounded("impurity", 9).alias("impurity"), "n",
+            "prediction",
+        )
+
+    return query
+
+
 # Scores
 
 
+def named_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the classes' names, one of which is a summary's."""
+    names = small_frame(spark, label=["accuracy", "good"], index=[0.0, 1.0])
+    report = evaluation.named_report(pairs(spark, sf_dir), names, TRUTH, GUESS)
+    scores = ("precision", "recall", "f1")
+    return report.select("line", "name", *(rounded(c).alias(c) for c in scores), "support")
+
+
 def _scores(measure: Callable[..., DataFrame], *ratios: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         scored = measure(pairs(spark, sf_dir), label_col=TRUTH, prediction_col=GUESS)
@@ -376,6 +532,7 @@ def images_to_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "binary_scan": binary_scan,
+    "class_scan": class_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "label_from_path": page_labels,
     "label_counts": label_counts,
@@ -388,15 +545,20 @@ QUERIES: dict[str, Query] = {
     "files_featurize": files_featurize,
     "featurize_maxpool": featurize_maxpool,
     "featurize_linear": featurize_linear,
+    "featurize_partitions": featurize_partitions,
     "standard_scale": standard_scale,
     "correlation": correlation,
     "variance_curve": variance_curve,
     "variance_powers": variance_powers,
+    "leading_variance": leading_variance,
     "choose_k": choose_k,
     "pca_project": pca_project,
     "pca_norms": pca_norms,
     "string_index": string_index,
     "index_rows": index_rows,
+    "label_ranks": label_ranks,
+    "label_rank_rows": label_rank_rows,
+    "exact_split": exact_split,
     "hash_split": hash_split,
     "random_split": random_split,
     "lr_predict": _predict("lr"),
@@ -408,6 +570,14 @@ QUERIES: dict[str, Query] = {
     "lr_training_scores": lr_training_scores,
     "tree_stats": _learned("tree", classification.tree_stats),
     "forest_stats": _learned("forest", classification.tree_stats),
+    "lr_cells": lr_cells,
+    "lr_cell_coefficients": lr_cell_coefficients,
+    "lr_cell_intercepts": lr_cell_intercepts,
+    "lr_cell_loss": lr_cell_loss,
+    "tree_cells": _year_predict("tree"),
+    "tree_nodes": _year_nodes("tree"),
+    "forest_cells": _year_predict("forest", **_forest_of_equals),
+    "forest_nodes": _year_nodes("forest", **_forest_of_equals),
     "accuracy": _scores(evaluation.accuracy, "accuracy", "test_error"),
     "per_label_metrics": _scores(
         evaluation.per_label, "fpr", "tpr", "precision", "recall", "f1"
@@ -422,5 +592,6 @@ QUERIES: dict[str, Query] = {
     "classification_report": _scores(
         evaluation.classification_report, "precision", "recall", "f1"
     ),
+    "named_report": named_report,
     "images_to_report": images_to_report,
 }
