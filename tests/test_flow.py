@@ -170,3 +170,37 @@ def test_file_bytes_give_the_same_features_as_images(spark, sf_dir, tmp_path):
             b.path.split(":", 1)[1].lstrip("/"), b.Classe,
         )
         np.testing.assert_allclose(a.features, b.features, atol=1e-6)
+
+
+def test_only_new_files_are_featurised(spark, tmp_path):
+    """A second run over a grown folder takes the new files, a third none."""
+    from vecloom.functions import models
+    from vecloom.sources import read_features, stream_files
+
+    root, out, state = (str(tmp_path / n) for n in ("photos", "features", "state"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def decode(content):
+        seen.add(1)
+        return None if content == b"broken" else np.full((2, 2, 3), content[0], np.uint8)
+
+    def add(folder, names):
+        (tmp_path / "photos" / folder).mkdir(parents=True, exist_ok=True)
+        for n in names:
+            (tmp_path / "photos" / folder / n).write_bytes(b"broken" if "bad" in n else n[0].encode())
+
+    def run():
+        files = stream_files(spark, root)
+        return flow.extract_new_features(files, out, state, models.max_pool, decode=decode)
+
+    add("Plum", ["a.jpg", "b.jpg", "notes.txt"])
+    assert run() == 2 and seen.value == 2
+    add("Kiwi", ["c.jpg", "bad.jpg"])
+    assert run() == 2 and seen.value == 4
+    assert run() == 0 and seen.value == 4
+    rows = read_features(spark, out).collect()
+    assert sorted((r.Classe, r.features is None) for r in rows) == [
+        ("Kiwi", False), ("Kiwi", True), ("Plum", False), ("Plum", False)
+    ]
+    with pytest.raises(ValueError, match="stream"):
+        flow.extract_new_features(spark.range(1), out, state, models.max_pool)

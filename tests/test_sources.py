@@ -169,3 +169,21 @@ def test_images_and_files_have_the_same_labels(spark, photos):
     images = read_images(spark, str(photos)).select(label_from_uri("image.origin").alias("l"))
     files = read_files(spark, str(photos)).select(label_from_path("path").alias("l"))
     assert {r.l for r in images.collect()} == {r.l for r in files.collect()}
+
+
+def test_one_class_is_written_again(spark, tmp_path):
+    """The other classes' files stay the same; parts follow their size, not a number."""
+    path = str(tmp_path / "features")
+    rows = spark.range(3000).selectExpr("id", "concat('c', id % 3) as Classe")
+    write_features(rows.repartition(40), path, partition_by=("Classe",), rebalance=True)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    assert len(before) == 3
+    again = rows.where("Classe = 'c1' and id < 30")
+    write_features(again, path, mode="replace", partition_by=("Classe",))
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    others = {p: t for p, t in before.items() if "Classe=c1" not in str(p)}
+    assert others.items() <= after.items() and len(others) == 2
+    counts = {r[0]: r[1] for r in read_features(spark, path).groupBy("Classe").count().collect()}
+    assert counts == {"c0": 1000, "c1": 10, "c2": 1000}
+    with pytest.raises(ValueError, match="partition_by"):
+        write_features(again, path, mode="replace")

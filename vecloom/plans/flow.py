@@ -57,6 +57,34 @@ def extract_features(
     return seen.get
 
 
+def extract_new_features(
+    files: DataFrame,
+    out: str,
+    checkpoint: str,
+    model_fn: Callable[[Any], Any],
+    label_of: Callable[[str], Column] = label_from_path,
+    **options: Any,
+) -> int:
+    """Append ``path, Classe, features`` of the files that no run with this checkpoint has seen.
+
+    ``files`` is a stream (:func:`vecloom.sources.stream_files`). The run takes all files that are
+    there, and ends; one that is broken off goes on where it stopped, and a batch's
+    rows are in ``out`` once or not at all. Returns the number of rows.
+    """
+    if not files.isStreaming:
+        raise ValueError("files is no stream")
+    labelled = files.withColumn("Classe", label_of("path"))
+    table = featurize(labelled, "content", model_fn, **options).select("path", "Classe", "features")
+    run = (
+        table.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    run.awaitTermination()
+    return sum(p.numInputRows for p in run.recentProgress)
+
+
 def reduce_features(
     spark: SparkSession,
     features_path: str,

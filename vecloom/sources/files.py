@@ -24,3 +24,16 @@ def read_files(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(paths if isinstance(paths, str) else list(paths))
+
+
+#: Fixed: the columns of Spark's source of raw files, which a stream does not infer.
+FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def stream_files(spark: SparkSession, root: str, glob: str | None = "*.jpg") -> DataFrame:
+    """The files below ``root`` as a stream, whose checkpoint remembers those it has seen."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS)
+    reader = reader.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(root)

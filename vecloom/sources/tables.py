@@ -21,10 +21,22 @@ def write_features(
     columns: Sequence[str] | None = None,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    rebalance: bool = False,
 ) -> None:
     """Save ``df``, or only ``columns`` of it, in as many parts as it has partitions.
 
-    Columns that are left out here are not computed either.
+    Columns that are left out here are not computed either. ``mode="replace"`` with
+    ``partition_by`` replaces the folders that ``df`` has rows for and leaves the others as they
+    are, so one class can be written again. ``rebalance`` shuffles the rows into parts of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, whatever their number: by the columns of
+    ``partition_by``, and folders that are too large for one part are split.
     """
     out = df.select(*columns) if columns else df
-    out.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    if rebalance:
+        out = out.hint("rebalance", *partition_by)
+    writer = out.write.partitionBy(*partition_by)
+    if mode == "replace":
+        if not partition_by:
+            raise ValueError("mode replace needs partition_by")
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.mode(mode).parquet(path)
