@@ -6,13 +6,49 @@ of interface plugs in; a pretrained network goes in through a factory of the use
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 Model = Callable[[np.ndarray], np.ndarray]
 
 
+@dataclass(frozen=True)
+class WeightFiles:
+    """Arrays of any size that Spark hands out as files, once to each node.
+
+    ``value`` maps them into memory, read only, so the workers of a node share one copy of what
+    they touch. Made by :func:`weight_files`.
+    """
+
+    names: dict[str, str]
+
+    @property
+    def value(self) -> dict[str, np.ndarray]:
+        return {
+            key: np.load(SparkFiles.get(name), mmap_mode="r") for key, name in self.names.items()
+        }
+
+
+def weight_files(spark: SparkSession, arrays: dict[str, np.ndarray], name: str) -> WeightFiles:
+    """Gives ``arrays`` to all nodes under ``name``; ``model_fn`` gets them as a dictionary.
+
+    The driver writes them to a folder of its own, from which Spark's file server reads.
+    """
+    folder = Path(tempfile.mkdtemp(prefix="weights-"))
+    names = {}
+    for key, array in arrays.items():
+        names[key] = f"{name}-{key}.npy"
+        np.save(folder / names[key], array)
+        spark.sparkContext.addFile(str(folder / names[key]))
+    return WeightFiles(names)
+
+
 def max_pool(_weights: object = None) -> Model:
     """The largest value: of each vector, or of each channel of an image."""
 

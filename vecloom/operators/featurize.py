@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from typing import Any
 
 import numpy as np
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.functions import pixels as px
-from vecloom.functions.models import Model
+from vecloom.functions.models import Model, WeightFiles
 
 Piece = tuple[np.ndarray, np.ndarray]  # row positions, and one array row for each of them
 
 MAX_WEIGHT_BYTES = 1 << 30
+PIXEL_BYTES = 256 << 20
 
 
 def featurize(
@@ -31,13 +33,16 @@ def featurize(
     rows_per_batch: int | None = None,
     partitions: int | None = None,
     once: bool = True,
+    pixel_bytes: int = PIXEL_BYTES,
 ) -> DataFrame:
     """Add ``output_col array<float>``: the model's output for each row, flattened.
 
     The input column is an image struct, file bytes (each turned into an RGB array by
     ``decode``) or a numeric array. Images are resized to ``size`` (height, width) if given and
-    scaled to [-1, 1]. ``weights`` are broadcast, ``model_fn(weights)`` is called once per
-    task and the model then sees at most ``rows_per_batch`` rows at a time. Rows
+    scaled to [-1, 1]. ``weights`` are broadcast, or :class:`models.WeightFiles`, which a node's
+    workers share; ``model_fn(weights)`` is called once per task and the model then sees at most
+    ``rows_per_batch`` rows at a time, and images of at most ``pixel_bytes`` decoded bytes together
+    (one larger image alone): as bytes and again, resized, as 4-byte numbers. Rows
     without input (NULL, undecodable image, empty array) get NULL features; a ``decode`` of your
     own returns None for a file it can't read.
 
@@ -52,10 +57,10 @@ def featurize(
     kind = df.schema[input_col].dataType
     if isinstance(kind, T.StructType):
         inputs = [F.col(f"{input_col}.{f}") for f in ("height", "width", "nChannels", "data")]
-        pieces, default_rows = _image_pieces, 64
+        pieces, default_rows = partial(_image_pieces, pixel_bytes=pixel_bytes), 64
     elif isinstance(kind, T.BinaryType):
         inputs = [F.col(input_col)]
-        pieces, default_rows = _file_pieces(decode or px.decode_pillow), 64
+        pieces, default_rows = _file_pieces(decode or px.decode_pillow, pixel_bytes), 64
     elif isinstance(kind, T.ArrayType):
         inputs = [F.col(input_col)]
         pieces, default_rows = _vector_pieces, 1024
@@ -63,10 +68,12 @@ def featurize(
         raise TypeError(f"{input_col} is {kind.simpleString()}: want an image, bytes or an array")
 
     shared = None
-    if weights is not None:
+    if isinstance(weights, WeightFiles):
+        shared = weights
+    elif weights is not None:
         n_bytes = _weight_bytes(weights)
         if n_bytes > MAX_WEIGHT_BYTES:
-            raise ValueError(f"{n_bytes} bytes of weights: let model_fn load them from a path")
+            raise ValueError(f"{n_bytes} bytes of weights: give them as models.WeightFiles")
         shared = df.sparkSession.sparkContext.broadcast(weights)
 
     run = _runner(model_fn, shared, pieces, size, rows_per_batch or default_rows, len(inputs))
@@ -131,27 +138,48 @@ def _runner(
 
 
 def _image_pieces(
-    height: pa.Array, width: pa.Array, channels: pa.Array, data: pa.Array
+    height: pa.Array,
+    width: pa.Array,
+    channels: pa.Array,
+    data: pa.Array,
+    pixel_bytes: int = PIXEL_BYTES,
 ) -> Iterator[Piece]:
-    """Images of one shape together, as (n, h, w, 3) RGB."""
+    """Images of one shape together, as (n, h, w, 3) RGB of at most ``pixel_bytes``."""
     shapes = np.stack([_ints(c, -1) for c in (height, width, channels)], axis=1)
     for shape in np.unique(shapes, axis=0):
         if shape.min() > 0:
-            rows = np.flatnonzero((shapes == shape).all(axis=1))
-            joined = b"".join(data.take(pa.array(rows)).to_pylist())
-            batch = np.frombuffer(joined, np.uint8).reshape(len(rows), *shape)
-            yield rows, px.bgr_to_rgb(batch)
+            same = np.flatnonzero((shapes == shape).all(axis=1))
+            most = max(1, pixel_bytes // (int(shape[0]) * int(shape[1]) * 3))
+            for rows in np.split(same, range(most, len(same), most)):
+                joined = b"".join(data.take(pa.array(rows)).to_pylist())
+                batch = np.frombuffer(joined, np.uint8).reshape(len(rows), *shape)
+                yield rows, px.bgr_to_rgb(batch)
 
 
-def _file_pieces(decode: Callable[[bytes], np.ndarray]) -> Callable[[pa.Array], Iterable[Piece]]:
+def _file_pieces(
+    decode: Callable[[bytes], np.ndarray], pixel_bytes: int = PIXEL_BYTES
+) -> Callable[[pa.Array], Iterable[Piece]]:
+    """Decoded files of one shape together; no more than ``pixel_bytes`` are held at a time."""
+
     def pieces(content: pa.Array) -> Iterator[Piece]:
         by_shape: dict[tuple[int, ...], list[tuple[int, np.ndarray]]] = {}
-        for row, file in enumerate(content.to_pylist()):
-            image = decode(file) if file is not None else None
-            if image is not None:
-                by_shape.setdefault(image.shape, []).append((row, image))
-        for found in by_shape.values():
-            yield np.array([r for r, _ in found]), np.stack([i for _, i in found])
+        held = 0
+
+        def out() -> Iterator[Piece]:
+            while by_shape:
+                found = by_shape.popitem()[1]
+                yield np.array([r for r, _ in found]), np.stack([i for _, i in found])
+
+        for row, file in enumerate(content):
+            image = decode(file.as_py()) if file.is_valid else None
+            if image is None:
+                continue
+            if held and held + image.nbytes > pixel_bytes:
+                yield from out()
+                held = 0
+            by_shape.setdefault(image.shape, []).append((row, image))
+            held += image.nbytes
+        yield from out()
 
     return pieces
 
