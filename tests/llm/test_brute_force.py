@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from vecloom.llm import classifier, line_dedup, near_dedup, packing, quality_rules, resharding
 from vecloom.llm.queries import QUERIES, tokenizer_path
@@ -179,6 +180,25 @@ def test_recall_of_similar_lines_by_length(spark, monkeypatch):
         assert found <= want and len(found) >= 0.9 * len(want) > 0
 
 
+def test_common_words_are_counted_in_all_lines(spark):
+    """Of 12,000 lines a word in 120 is common, however often there, one in 119 is not."""
+    often, seldom = F.col("id") % 100 == 7, (F.col("id") % 100 == 13) & (F.col("id") != 13)
+    frame = spark.range(12_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(
+            F.lit("base"),
+            F.when(often, " often").otherwise(""),
+            F.when(seldom, " seldom Seldom").otherwise(""),
+        ).alias("text"),
+    )
+    bits = line_dedup.common_words(line_dedup.row_keys(frame, "doc_id", "text"))
+    slot = F.xxhash64("w").bitwiseAND(F.lit((1 << line_dedup.MAP_BITS) - 1)).alias("slot")
+    words = spark.createDataFrame([("base",), ("often",), ("seldom",)], "w string")
+    slots = [r.slot for r in words.select(slot).collect()]
+    assert len(set(slots)) == 3
+    assert [bits[s >> 6] >> (s & 63) & 1 for s in slots] == [1, 1, 0]
+
+
 def test_words_that_share_a_character_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "CODES", 3)
     a = [f"w{i}" for i in range(10)]
