@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from collections import Counter
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 from pictures import photo_folder, write_png
 from vecloom.functions import label_from_path, label_from_uri
 from vecloom.operators.featurize import to_rgb
+from vecloom.plans import bitmaps, queries
 from vecloom.session import scan_settings, scratch_path
 from vecloom.sources import (
     read_features,
@@ -187,3 +191,32 @@ def test_one_class_is_written_again(spark, tmp_path):
     assert counts == {"c0": 1000, "c1": 10, "c2": 1000}
     with pytest.raises(ValueError, match="partition_by"):
         write_features(again, path, mode="replace")
+
+
+def test_bitmaps_of_any_class_are_one_file_each(spark, tmp_path, monkeypatch):
+    """As many as rows, of any class, repeated ones too, in several tasks; no checksums beside them."""
+    monkeypatch.setattr(bitmaps, "FILES_PER_TASK", 1)
+    classes = ["a b", "x:y%25", "x", None, "x"] * 4
+    rows = [(c, [k / 64.0 - 0.5] * 64) for c, k in zip(classes, [*range(10)] * 2, strict=True)]
+    table = spark.createDataFrame(rows, "c string, v array<float>")
+    bitmaps.write_bitmaps(table, "v", "c", str(tmp_path / "out"))
+    read = read_files(spark, str(tmp_path / "out"), glob="*.txt").collect()
+    pixels = sorted(int(bitmaps.decode_bitmap(r.content)[0, 0, 0]) for r in read)
+    assert pixels == sorted(int((v[0] + 1) * 63) for _, v in rows)
+    assert {r.length for r in read} == {247}
+    counts = Counter(Path(r.path).parent.name for r in read)
+    assert sorted(counts.values()) == [4, 4, 4, 8]
+    assert counts["Classe=x"] == 8 and counts["Classe=__HIVE_DEFAULT_PARTITION__"] == 4
+    assert not [f for f in (tmp_path / "out").rglob("*.txt.crc")]
+
+
+def test_small_scans_share_tasks(spark, sf_dir, monkeypatch):
+    """Scans of a few files each are merged, and lose no row."""
+    monkeypatch.setattr(queries, "SCANS_PER_TASK", 8)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        found = queries.images(spark, sf_dir)
+        assert found.rdd.getNumPartitions() <= 500 // 8
+        assert found.count() == 500
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -21,6 +21,7 @@ from vecloom.sources import read_features, read_files, read_images, write_featur
 Query = Callable[[SparkSession, str], DataFrame]
 
 REDUCED_K = 32
+SCANS_PER_TASK = 32
 TRUTH, GUESS = "quality", "toxic"
 
 
@@ -63,19 +64,22 @@ def image_folder(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "images")
     table = read_features(spark, f"{sf_dir}/embeddings.parquet", ("label", "embedding"))
     bitmaps.write_bitmaps(table, "embedding", "label", path)
-    # a list beside the images of each class: the scans' filter by file name leaves it out
-    listed = table.groupBy(F.col("label").alias("Classe")).count()
-    listed.write.mode("append").partitionBy("Classe").csv(path)
     _image_folders[key] = path
     return path
 
 
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_files(spark, image_folder(spark, sf_dir), glob="*.txt")
+    return fewer_tasks(read_files(spark, image_folder(spark, sf_dir), glob="*.txt"))
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_images(spark, image_folder(spark, sf_dir), glob="*.txt")
+    return fewer_tasks(read_images(spark, image_folder(spark, sf_dir), glob="*.txt"))
+
+
+def fewer_tasks(scan: DataFrame) -> DataFrame:
+    """Up to ``SCANS_PER_TASK`` of a scan's partitions (30 small files, unless set) in each task."""
+    least = 4 * scan.sparkSession.sparkContext.defaultParallelism
+    return scan.coalesce(max(least, scan.rdd.getNumPartitions() // SCANS_PER_TASK))
 
 
 # Sources, sinks, projections
