@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vecloom.llm import (
-    chat, classifier, decontaminate, line_dedup, near_dedup, packing, quality_rules, resharding,
+    chat, classifier, common, decontaminate, line_dedup, near_dedup, packing, quality_rules, resharding,
     token_files, url_filter,
 )
 from vecloom.llm.common import scratch
@@ -272,3 +274,20 @@ def test_pipeline_stages_keep_the_columns(spark, docs, sf_dir):
         current = stage(spark, current, sf_dir)
         assert current.columns == docs.columns
     assert corpus_pipeline.STAGES[-1][1](spark, current, sf_dir).count() > 0
+
+
+def test_saved_leaves_no_shuffle_files(spark):
+    """What a write has shuffled goes with it; the setting is as before."""
+
+    def shuffled():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f.name for d in disk.localDirs() for f in Path(str(d)).rglob("shuffle_*.data")}
+
+    before, set_before = shuffled(), spark.conf.get(common.CLEANUP, None)
+    frame = common.saved(spark.range(1000).repartition(7).groupBy(F.col("id") % 50).count(), "x")
+    end = time.time() + 20  # they are removed in the background
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(common.CLEANUP, None) == set_before
+    assert frame.count() == 50
