@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import Broadcast
 
 from vecloom.llm import collocations
 
@@ -85,6 +88,44 @@ def test_fingerprints_that_clash_are_verified(spark, rows, monkeypatch):
     assert got == best_of(rows, 5, 20, 2000, 100)
 
 
+def test_counts_are_added_up_in_little_memory():
+    """Fingerprints that tasks hold back are added up in six times their bytes."""
+    rng = np.random.default_rng(2)
+    held = [np.unique(rng.integers(0, 1 << 18, 1 << 17), return_counts=True) for _ in range(4)]
+    want = Counter()
+    for prints, counts in held:
+        want.update(dict(zip(prints.tolist(), counts.tolist(), strict=True)))
+    size = sum(x.nbytes for x, _ in held)
+    tracemalloc.start()
+    prints, counts = collocations.added_up(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not held and dict(zip(prints.tolist(), counts.tolist(), strict=True)) == want
+    assert (np.diff(prints) > 0).all() and peak < 6 * size
+    assert [len(x) for x in collocations.added_up([(prints[:0], counts[:0])] * 2)] == [0, 0]
+
+
+def test_workers_do_not_keep_maps_of_earlier_calls(spark, rows, monkeypatch):
+    gone, destroy = [], Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: gone.append(self) or destroy(self, *a))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    counts = collocations.phrase_counts(frame, min_count=20)
+    assert len(gone) == collocations.LONGEST and counts.count() > 1
+
+
+def test_a_task_cuts_texts_in_slices_of_little_memory(rows):
+    """All arrays of a slice of plain text together: a fixed number of MB, whatever the batch."""
+    text = "some words of plain text, and more. " * 8000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([text] * 40), pa.array(["en"] * 40)], names=["text", "lang"]
+    )
+    tracemalloc.start()
+    n = sum(len(b.codes) for _, b in collocations._batches(iter([batch]), 0, 1, 64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 40 * 8000 * 7 and peak < 40 << 20
+
+
 def test_prefix_polynomials():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 1 << 63, 50).astype(np.uint64)
