@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from vecloom.llm import classifier, line_dedup, near_dedup, packing, quality_rules, resharding
+from vecloom.llm import classifier, common, line_dedup, near_dedup, packing, quality_rules, resharding
 from vecloom.llm.queries import QUERIES, tokenizer_path
 from vecloom.llm.tokens import Encoder
 
@@ -180,6 +180,59 @@ def test_recall_of_similar_lines_by_length(spark, monkeypatch):
         assert found <= want and len(found) >= 0.9 * len(want) > 0
 
 
+def test_pairs_too_far_apart_are_not_read(spark, monkeypatch):
+    """The maps of words drop most pairs that are not similar, and none that is."""
+    texts = similar_lines(random.Random(13), [20, 35, 100])
+    frame = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    rows = line_dedup.row_keys(frame, "doc_id", "text")
+    classes = line_dedup.line_classes(line_dedup.sketched_lines(rows))
+    ids = classes.select("c", F.col("first.id").alias("i"))
+    pairs = ids.toDF("a", "i").join(ids.toDF("b", "j"), F.col("i") < F.col("j"))
+    kept = line_dedup._alike(pairs.select("a", "b"), classes).join(pairs, ["a", "b"])
+    kept = {(r.i, r.j) for r in kept.select("i", "j").collect()}
+    every = [(i, j) for j in range(len(texts)) for i in range(j)]
+    far = {p for p in every if far_apart(texts[p[0]], texts[p[1]])}
+    assert set(every) - far <= kept and len(kept & far) < len(far) / 2
+    seen, verified = [], line_dedup.verified
+    monkeypatch.setattr(
+        line_dedup, "verified", lambda p, t: seen.extend(map(tuple, p.collect())) or verified(p, t)
+    )
+    of = {r.c: r.i for r in ids.collect()}
+    line_dedup.links(rows, classes)
+    assert seen and {tuple(sorted((of[a], of[b]))) for a, b in seen} <= kept
+
+
+def test_scratch_tables_are_emptied_as_soon_as_they_are_read(spark, monkeypatch):
+    """No table of lines, blocks or texts is left, and that of a round ends with it."""
+    monkeypatch.setattr(line_dedup, "GROUP", 2)
+    monkeypatch.setattr(line_dedup, "PIVOTS", 2)
+    texts = similar_lines(random.Random(14), [10] * 6)
+    texts += [[f"x{i}", "the", "same", "three", f"y{i}", f"z{i}"] for i in range(40)]
+    frame = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    tables, blocks, scratch = [], [], common.scratch
+
+    def path(spark, name):
+        if name == "pivots":  # the next round: how many tables of blocks hold rows
+            blocks.append(sum(held(p) for n, p in tables if n in ("blocks", "left", "open")))
+        tables.append((name, scratch(spark, name)))
+        return tables[-1][1]
+
+    def held(p):
+        return not spark.read.parquet(p).isEmpty()
+
+    monkeypatch.setattr(common, "scratch", path)
+    rows = line_dedup.row_keys(frame, "doc_id", "text")
+    gone = line_dedup.dropped_lines(rows)
+    assert len(blocks) > 2 and set(blocks) == {1}
+    left = {n for n, p in tables if held(p)}
+    assert "gone" in left and left <= {"gone", "rows", "hot", "groups", "line-groups"}
+    assert gone.count() > 0
+
+
 def test_common_words_are_counted_in_all_lines(spark):
     """Of 12,000 lines a word in 120 is common, however often there, one in 119 is not."""
     often, seldom = F.col("id") % 100 == 7, (F.col("id") % 100 == 13) & (F.col("id") != 13)
