@@ -157,3 +157,28 @@ def test_pointers_and_empty_tables(spark, rows):
         found = texts[r["at"].doc_id, r.lang]
         assert any(w[r["at"].place : r["at"].place + len(words)] == words for w in found)
     assert collocations.collocations(frame.where("false")).count() == 0
+
+
+def test_texts_come_in_small_arrow_batches(spark, monkeypatch):
+    """A task gets some megabytes of texts at once, and the session's settings are as before."""
+    rows = spark.range(6000).selectExpr("id doc_id", "repeat('some words here ', 100) text", "'en' lang")
+    rows = rows.coalesce(1)
+    sizes, whole = [], collocations._frequent_map
+
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    def seen(counted):
+        sizes.append(max(r.n for r in rows.mapInArrow(size, "n bigint").collect()))
+        return whole(counted)
+
+    monkeypatch.setattr(collocations, "_frequent_map", seen)
+    keys = list(collocations.ARROW)
+    before = [spark.conf.get(k, None) for k in keys]
+    counts = collocations.phrase_counts(rows, longest=2)
+    assert {r.phrase: r.n for r in counts.where("words = 2").collect()} == {
+        "some words": 600_000, "words here": 600_000, "here some": 594_000
+    }
+    assert len(sizes) == 2 and max(sizes) < 6 << 20
+    assert [spark.conf.get(k, None) for k in keys] == before
