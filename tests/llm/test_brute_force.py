@@ -204,6 +204,41 @@ def test_pairs_too_far_apart_are_not_read(spark, monkeypatch):
     assert seen and {tuple(sorted((of[a], of[b]))) for a, b in seen} <= kept
 
 
+def test_lines_that_share_a_passage_are_told_apart_as_they_meet(spark, monkeypatch):
+    """Pairs of unlike lines in a large block do not become rows, nor do lines that share a pair
+    of words by chance."""
+    monkeypatch.setattr(line_dedup, "GROUP", 4)
+    rng = random.Random(15)
+    passage = [f"p{i}" for i in range(14)]
+
+    def own(n):
+        return [f"v{rng.randrange(10**6)}" for _ in range(n)]
+
+    texts = [[*own(18), *passage, *own(18)] for _ in range(40)]
+    texts += [[*own(10), "rare", "pair", *own(10)] for _ in range(40)]
+    near = own(40)
+    texts += [near, [*near[:-1], "other"]]
+    frame = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    rows = line_dedup.row_keys(frame, "doc_id", "text")
+    classes = line_dedup.line_classes(line_dedup.sketched_lines(rows))
+    chance = classes.where(F.col("first.id").between(40, 79)).select("c")
+    met = line_dedup.blocks(classes)
+    assert met.where("members > 4").count() > 0  # the passage's
+    assert met.join(chance, "c").isEmpty()
+    made, pairs = [], line_dedup._pairs
+
+    def counted(*args):
+        out = pairs(*args)
+        made.append(out.distinct().count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_pairs", counted)
+    assert line_dedup.links(rows, classes).count() == 1
+    assert sum(made) <= 40  # 780 pairs share the passage
+
+
 def test_scratch_tables_are_emptied_as_soon_as_they_are_read(spark, monkeypatch):
     """No table of lines, blocks or texts is left, and that of a round ends with it."""
     monkeypatch.setattr(line_dedup, "GROUP", 2)
