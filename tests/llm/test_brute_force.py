@@ -239,6 +239,63 @@ def test_lines_that_share_a_passage_are_told_apart_as_they_meet(spark, monkeypat
     assert sum(made) <= 40  # 780 pairs share the passage
 
 
+def test_long_lines_are_told_apart_by_larger_maps(spark):
+    """Unlike lines of 135 words that share 45 do not pass the maps; no similar pair is lost where
+    one line is long and the other is not."""
+    rng = random.Random(16)
+    passage = [f"p{i}" for i in range(45)]
+
+    def own(n):
+        return [f"v{rng.randrange(10**6)}" for _ in range(n)]
+
+    texts = [[*own(45), *passage, *own(45)] for _ in range(30)]
+    texts += similar_lines(rng, [76, 80, 84])
+    frame = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    rows = line_dedup.row_keys(frame, "doc_id", "text")
+    classes = line_dedup.line_classes(line_dedup.sketched_lines(rows))
+    ids = classes.select("c", F.col("first.id").alias("i"))
+    pairs = ids.toDF("a", "i").join(ids.toDF("b", "j"), F.col("i") < F.col("j"))
+    kept = line_dedup._alike(pairs.select("a", "b"), classes).join(pairs, ["a", "b"])
+    kept = {(r.i, r.j) for r in kept.select("i", "j").collect()}
+    every = [(i, j) for j in range(30, len(texts)) for i in range(30, j)]
+    assert {p for p in every if not far_apart(texts[p[0]], texts[p[1]])} <= kept
+    assert sum(j < 30 for _, j in kept) <= 20  # of 435 pairs
+
+
+def test_unlike_lines_of_a_block_take_few_rounds(spark, monkeypatch):
+    """Rounds grow steeply, and a block that is small enough meets whole, each pair once."""
+    monkeypatch.setattr(line_dedup, "GROUP", 4)
+    monkeypatch.setattr(line_dedup, "PIVOTS", 2)
+    texts = [[f"x{i}", "the", "same", "three", f"y{i}", f"z{i}"] for i in range(60)]
+    texts += [["x0", "the", "same", "three", "y0", "other"]]
+    frame = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    names, scratch = [], common.scratch
+    monkeypatch.setattr(
+        common, "scratch", lambda spark, name: names.append(name) or scratch(spark, name)
+    )
+    rows = line_dedup.row_keys(frame, "doc_id", "text")
+    classes = line_dedup.line_classes(line_dedup.sketched_lines(rows))
+    assert line_dedup.links(rows, classes).count() == 1
+    assert names.count("pivots") <= 3  # 2, 16 and 128 lines; each round writes eight tables
+
+
+def test_rows_of_blocks_carry_no_features(spark):
+    """A line's features go out as the keys of its blocks, ten at most, and not beside them."""
+    frame = spark.createDataFrame(
+        [(i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(20)],
+        "doc_id bigint, text string",
+    )
+    rows = line_dedup.row_keys(frame, "doc_id", "text")
+    classes = line_dedup.line_classes(line_dedup.sketched_lines(rows))
+    assert classes.agg(F.max(F.size("sketch"))).first()[0] == line_dedup.KEYS == 10
+    met = line_dedup.blocks(classes)
+    assert not met.isEmpty() and all("array" not in kind for _, kind in met.dtypes)
+
+
 def test_scratch_tables_are_emptied_as_soon_as_they_are_read(spark, monkeypatch):
     """No table of lines, blocks or texts is left, and that of a round ends with it."""
     monkeypatch.setattr(line_dedup, "GROUP", 2)
